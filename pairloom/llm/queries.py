@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import round_trip
 from .common import documents
 from .exact_dedup import exact_dedup, half
 from .mixing import mix
 from .sharding import shard
+from .token_counts import count_with_edits
 
 
 def op1_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +29,10 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(documents(spark, sf_dir))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -56,9 +62,15 @@ SELECT r.doc_id, r.size, r.source_size, r.target,
 FROM run r LEFT JOIN closing c ON r.source IS NOT DISTINCT FROM c.source
 """
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_with_edits(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_vector_sharding": op1_vector_sharding,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_source_mixing": op8_source_mixing,
+    "op9_token_counts": op9_token_counts,
 }
 ORACLE_SQL = {"op5_exact_dedup": OP5_SQL, "op8_source_mixing": OP8_SQL}
