@@ -1,6 +1,6 @@
 """Edit-aware token counts: a segment tree of pre-token runs per document.
 
-A document's leaves are runs of whole pre-tokens of about 512 bytes, each beginning at an anchor (see
+A document's leaves are runs of whole pre-tokens of about 256 bytes, each beginning at an anchor (see
 ``bpe``). The tree holds the sums of bytes and of tokens of its subtrees. An edit finds the leaves it touches
 by descending the byte sums, takes in the neighbours (context) until both ends of the region are anchors of
 the edited text too, encodes that region alone, and updates the sums above it. A leaf slot that
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from .bpe import Codec, _bytes, _mapped, anchors
 
-LEAF_BYTES = 512
+LEAF_BYTES = 256
 
 
 class TokenTree:
