@@ -10,6 +10,7 @@ from .common import documents
 from .exact_dedup import exact_dedup, half
 from .mixing import mix
 from .sharding import shard
+from .tiff import round_trip as tiff_round_trip
 from .token_counts import count_with_edits
 
 
@@ -66,11 +67,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_with_edits(documents(spark, sf_dir))
 
 
+def op10_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiff_round_trip(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_vector_sharding": op1_vector_sharding,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_source_mixing": op8_source_mixing,
     "op9_token_counts": op9_token_counts,
+    "op10_tiff_media": op10_tiff_media,
 }
 ORACLE_SQL = {"op5_exact_dedup": OP5_SQL, "op8_source_mixing": OP8_SQL}
