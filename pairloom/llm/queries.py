@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import round_trip
-from .common import documents
+from .common import documents, pages
 from .exact_dedup import exact_dedup, half
+from .html_text import main_text
 from .mixing import mix
 from .sharding import shard
 from .tiff import round_trip as tiff_round_trip
 from .token_counts import count_with_edits
+from .warc import read_archive, write_archive
 
 
 def op1_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +21,10 @@ def op1_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(pages(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir), half())
 
@@ -30,6 +36,23 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = pages(spark, sf_dir)
+    out = read_archive(write_archive(own), "page_id", own.schema["page_id"].dataType.simpleString())
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP6_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, CAST(octet_length(body) AS BIGINT) AS n, sha1(body) AS digest FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS top FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM g
+"""
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir))
 
@@ -73,10 +96,12 @@ def op10_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_vector_sharding": op1_vector_sharding,
+    "op4_html_main_text": op4_html_main_text,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_warc_archive": op6_warc_archive,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_source_mixing": op8_source_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_tiff_media": op10_tiff_media,
 }
-ORACLE_SQL = {"op5_exact_dedup": OP5_SQL, "op8_source_mixing": OP8_SQL}
+ORACLE_SQL = {"op5_exact_dedup": OP5_SQL, "op6_warc_archive": OP6_SQL, "op8_source_mixing": OP8_SQL}
