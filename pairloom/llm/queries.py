@@ -13,6 +13,7 @@ from .mixing import mix
 from .sharding import shard
 from .tiff import round_trip as tiff_round_trip
 from .token_counts import count_with_edits
+from .toxicity import score, train
 from .warc import read_archive, write_archive
 
 
@@ -21,6 +22,11 @@ def op1_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(pages(spark, sf_dir))
 
@@ -96,6 +102,7 @@ def op10_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_vector_sharding": op1_vector_sharding,
+    "op3_toxicity": op3_toxicity,
     "op4_html_main_text": op4_html_main_text,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_warc_archive": op6_warc_archive,
