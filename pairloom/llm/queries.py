@@ -10,6 +10,7 @@ from .common import documents, pages
 from .exact_dedup import exact_dedup, half
 from .html_text import main_text
 from .mixing import mix
+from .near_dedup import near_dedup
 from .sharding import shard
 from .tiff import round_trip as tiff_round_trip
 from .token_counts import count_with_edits
@@ -22,6 +23,10 @@ def op1_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(documents(spark, sf_dir), words=4)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -102,6 +107,7 @@ def op10_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_vector_sharding": op1_vector_sharding,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_html_main_text": op4_html_main_text,
     "op5_exact_dedup": op5_exact_dedup,
