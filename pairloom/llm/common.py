@@ -31,12 +31,27 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def few(spark: SparkSession, parts: int) -> int:
+    """Into how many tasks ``parts`` small ones are put together: an eighth, and three for each core at least."""
+    return max(3 * spark.sparkContext.defaultParallelism, parts // 8)
+
+
+def gathered(scan: DataFrame) -> DataFrame:
+    """A scan without a shuffle, with fewer partitions where they are many: eight splits to a file written."""
+    n = scan.rdd.getNumPartitions()
+    most = few(scan.sparkSession, n)
+    return scan.coalesce(most) if n > most else scan
+
+
+def written(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts the lineage, survives lost executors.
 
+    ``small``: rows of a few bytes (links, ids) after a shuffle, put into fewer files than it has partitions.
     The table lasts until ``drop_scratch`` or the end of the driver's process.
     """
     spark = df.sparkSession
+    if small:
+        df = df.coalesce(few(spark, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     path = f"{scratch_root(spark)}/pairloom-{uuid.uuid4().hex}/{name}"
     _made.append((spark, path.rpartition("/")[0]))
     df.write.parquet(path)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_small, written
+from .common import gathered, join_small, written
 
 CHUNK_BYTES = 64 << 10
 LEAST = 1_000
@@ -138,7 +138,7 @@ class WarcReader:
 def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = LEAST, chunk_bytes: int = CHUNK_BYTES, limit: int | None = None) -> DataFrame:
     """Writes the pages as a chunked record table in the shared folder and returns it (CHUNK_SCHEMA)."""
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
-    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha1(payload).alias("sha1"))
+    own = gathered(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha1(payload).alias("sha1")))
     marks = own.select("id", "sha1", F.length("payload").alias("n")).filter(F.col("n") >= least)
     first = written(marks.groupBy("sha1").agg(F.max("id").alias("first"), F.count("*").alias("copies")).filter("copies > 1").drop("copies"), "first")
     joined = join_small(own, first, ["sha1"], "left", ["id", "url"], limit)
