@@ -218,10 +218,12 @@ def half(id_col: str = "doc_id") -> Column:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``exact_dedup`` drops; columns and kept rows stay as they are."""
-    kept = written(exact_dedup(docs, half()).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")), "kept")
-    own = docs.withColumn("_sha", F.sha2(text_of(), 256))
-    out = own.join(kept, own["doc_id"].eqNullSafe(kept["_id"]) & (own["_sha"] == kept["_sha"]), "left_semi")
-    again = own.groupBy("doc_id", "_sha").count().filter("count > 1")
-    if len(again.head(1)):
-        out = out.dropDuplicates(["doc_id", "_sha"])
-    return out.drop("_sha")
+    kept = exact_dedup(docs, half()).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept_sha"))
+    kept = written(kept, "kept")
+    sha = "_pairloom_sha"
+    own = docs.withColumn(sha, F.sha2(text_of(), 256))
+    out = own.join(kept, own["doc_id"].eqNullSafe(kept["_id"]) & (own[sha] == kept["_kept_sha"]), "left_semi")
+    again = own.groupBy("doc_id", sha).count().filter("count > 1")
+    if len(again.head(1)):  # rows that repeat an id and a text: one of them
+        out = out.dropDuplicates(["doc_id", sha])
+    return out.drop(sha)

@@ -87,6 +87,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = MOST,
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as many times as the mix takes it: the mixed corpus itself."""
-    times = written(mix(docs, **options).filter("times > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "times").distinct(), "times")
+    found = mix(docs, **options).filter("times > 0")
+    times = written(found.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("times").alias("_times")).distinct(), "times")
     joined = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"]) & docs["source"].eqNullSafe(times["_source"]))
-    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*(docs[c] for c in docs.columns))
+    return joined.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), times["_times"].cast("int"))).alias("_pairloom_n")).drop("_pairloom_n")

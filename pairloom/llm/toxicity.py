@@ -135,7 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)  # the documented bound of the sample
-    rows = docs.join(F.broadcast(known), docs[id_col] == known["_id"]).select("_y", F.col(text_col).cast("binary").alias("text"))
+    rows = docs.join(F.broadcast(known), docs[id_col] == known["_id"]).select(known["_y"], docs[text_col].cast("binary").alias("text"))
     rows = rows.persist()
     try:
 

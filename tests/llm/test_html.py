@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import pytest
+
+from pairloom.llm.html_text import blocks, density, extract, first_pass, main_text
+
+P = "This is the text of an article that has a number of words in it and that is long enough to be decided."
+CASES = [
+    (None, ""),
+    ("", ""),
+    ("plain words only", "plain words only"),
+    (f"<nav><a href=x>Menu</a></nav><article><h1>Head</h1><p>{P}<p>Short.</article><footer>&copy; x</footer>", f"Head\n{P}\nShort."),
+    (f"<body><header>Site</header><div id='cookie-notice'>We use cookies</div><h1>T</h1><p>{P}</p><p>End.</p><div class=comments><p>{P}</p></div>", f"T\n{P}\nEnd."),
+    (f"<article><p>a &amp; b&nbsp;&#99;  <b>d</b>e<br>f\n g</p><aside>{P}</aside><form>{P}</form><p>{P}</p></article>", f"a & b c de f g\n{P}"),
+    (f"<main><p>{P}</p><ul><li><a href=1>one</a></li><li><a href=2>two</a></li></ul></main>", P),
+    ("<article><script>var t='</p>';if(a<b){}</script><style>p{}</style><p>kept</p><!-- <p>gone</p> --></article>", "kept"),
+    (f"<article><p>{P}</p><p>cut off in the mid", f"{P}\ncut off in the mid"),
+    (f"<article><p>{P}</p><p>1 < 2 and 3 > 2 &am", f"{P}\n1 < 2 and 3 > 2 &am"),
+    ("<article><p>before</p><script>never closed <p>x", "before"),
+    (f"<article><p>{P}</p><div class='ad'>Buy now</div><p hidden>no</p><p style='display:none'>no</p><div class='reader-comments'>{P}</div></article>", P),
+    ("<article><h1>Only a title</h1></article>", "Only a title"),
+    ("<ARTICLE><P TITLE='a>b'>upper</P></ARTICLE>", "upper"),
+    (f"<div role=navigation>{P}</div><div><p>{P} And more of it.</p></div>", f"{P} And more of it."),
+]
+
+
+@pytest.mark.parametrize("page, text", CASES)
+def test_pages(page, text):
+    assert extract(page) == text
+
+
+def test_passes():
+    (b,) = blocks(f"<p>{P}</p>")
+    assert first_pass(b) is True and density(P) > 0.3
+    (b,) = blocks("<p>" + "Zqx wvu rst nml kjh " * 6 + "</p>")
+    assert first_pass(b) is False
+    (b,) = blocks("<article><p>" + "Zqx wvu rst nml kjh " * 6 + "</p></article>")
+    assert first_pass(b) is None
+    (b,) = blocks("<p>short</p>")
+    assert first_pass(b) is None
+
+
+def test_many_blocks_and_depth():
+    page = "<article>" + "".join(f"<p>w{i}</p>" for i in range(20_000)) + "</article>"
+    assert extract(page).count("\n") == 19_999
+    assert extract("<div>" * 20_000 + P + "</div>" * 20_000) == P
+    assert extract("<p>" + "word " * 200_000 + "</p>").count("word") in (0, 200_000)
+
+
+def test_operator(spark):
+    rows = [(i, f"u{i}", h, "x") for i, (h, _) in enumerate(CASES)] + [(None, None, CASES[3][0], "x"), (3, "again", CASES[3][0], "x")]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = main_text(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = CASES[3 if r.page_id is None else r.page_id][1]
+        assert (r.text, r.n_chars) == (want, len(want))
+    assert main_text(docs.limit(0)).collect() == []
