@@ -1,7 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are words and their beginnings and ends (inflected insults share these), hashed to 24 bits; a text has
-each term once. The machine adds to a bias and a weight per term the inner products of the terms' factors,
+Terms are words and their beginnings and ends (inflected insults share these), hashed to 24 bits; that a text
+has one twice or three times are terms of their own. The machine adds to a bias and a weight per term the inner products of the terms' factors,
 for every pair of terms in a text: a pair such as an insult and the mention of a group can score
 although neither does alone, which linear weights cannot say.
 
@@ -30,10 +30,12 @@ from .words import Spans, batched, mapping, windows
 #: Labelled rows that are learned from at most: those with the lowest hash of the id.
 SAMPLE = 60_000
 #: Terms that the machine knows at most, and how far (in standard deviations) a term's share must differ.
-TERMS, SIGMAS, LEAST_ROWS = 8_192, 4.0, 4
+TERMS, SIGMAS, LEAST_ROWS = 8_192, 3.7, 2
 BITS, FACTORS, EPOCHS, RATE, L2 = 24, 4, 20, 0.1, 1e-5
 THRESHOLD = 0.3
 _TABLE = mapping(also_space=bytes(b for b in range(33, 127) if not chr(b).isalnum()) + bytes(range(9)) + bytes(range(14, 32)))
+#: Occurrences of a term in a text up to this number are told apart; a term's number is hash * 4 + occurrences - 1.
+REPEATS = 3
 #: Bytes of a word's beginning and end that are terms of their own.
 BEGIN, END = (4, 6), (5,)
 
@@ -51,29 +53,48 @@ def _terms(s: Spans) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(where), (np.concatenate(out) >> np.uint64(64 - BITS)).astype(np.int32)
 
 
+def _leveled(hashes: np.ndarray) -> np.ndarray:
+    """Sorted distinct hashes, times 4, and again with 1 or 2 added where a hash is there twice or three times."""
+    u, n = np.unique(hashes, return_counts=True)
+    return np.sort(np.concatenate([u[n > k] * 4 + k for k in range(REPEATS)]))
+
+
 def text_terms(texts: list[bytes | None], known: np.ndarray | None = None) -> Iterator[np.ndarray]:
-    """The distinct hashed terms of each text; with ``known`` (a bit per hash) only those."""
+    """The distinct terms of each text; with ``known`` (a bit per hash) only those of these hashes."""
     for group, joined in batched(texts, _TABLE):
         if len(group) == 1:
             ids = np.concatenate([x if known is None else x[known[x]] for x in (_terms(Spans(w))[1] for w in windows(joined))])
-            yield np.unique(ids)
+            yield _leveled(ids)
             continue
         where, ids = _terms(Spans(joined))
         if known is not None:
             use = known[ids]
             where, ids = where[use], ids[use]
         edges = np.cumsum([len(texts[i] or b"") + 1 for i in group])
-        both = np.unique(np.searchsorted(edges, where, side="right").astype(np.int64) << BITS | ids)
-        cut = np.searchsorted(both, np.arange(1, len(group) + 1, dtype=np.int64) << BITS)
+        both = _leveled(np.searchsorted(edges, where, side="right").astype(np.int64) << BITS | ids)
+        cut = np.searchsorted(both, np.arange(1, len(group) + 1, dtype=np.int64) << BITS + 2)
         a = 0
         for b in cut.tolist():
-            yield (both[a:b] & ((1 << BITS) - 1)).astype(np.int32)
+            yield (both[a:b] & ((1 << BITS + 2) - 1)).astype(np.int32)
             a = b
 
 
+def hash_bits(terms: np.ndarray) -> np.ndarray:
+    """For each hash whether it is that of a term."""
+    bits = np.zeros(1 << BITS, bool)
+    bits[terms >> 2] = True
+    return bits
+
+
+def among(ids: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """The ``ids`` that are in ``terms`` (sorted)."""
+    k = np.minimum(np.searchsorted(terms, ids), len(terms) - 1)
+    return ids[terms[k] == ids] if len(terms) else ids[:0]
+
+
 @dataclass
 class Machine:
-    """bias, and for each known term (sorted hashes) a weight and factors."""
+    """bias, and for each known term (sorted) a weight and factors."""
 
     bias: float
     terms: np.ndarray
@@ -81,14 +102,14 @@ class Machine:
     factors: np.ndarray
 
     def score(self, ids: np.ndarray) -> float:
-        k = np.searchsorted(self.terms, ids)
+        k = np.searchsorted(self.terms, among(ids, self.terms))
         v = self.factors[k]
         z = self.bias + float(self.weights[k].sum()) + 0.5 * float((v.sum(axis=0) ** 2 - (v * v).sum(axis=0)).sum())
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, terms: np.ndarray, seed: int = 7) -> Machine:
-    """Logistic loss by adaptive gradients over small batches; ``rows`` hold hashes of ``terms`` (sorted)."""
+    """Logistic loss by adaptive gradients over small batches; ``rows`` hold some of ``terms`` (sorted)."""
     rng = np.random.default_rng(seed)
     share = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-3, 1 - 1e-3))
     bias, w = float(np.log(share / (1 - share))), np.zeros(len(terms))
@@ -160,14 +181,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         counts = rows.mapInArrow(counted, "term int, n long, n1 long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
         chosen = counts.filter(F.col("n") >= LEAST_ROWS).withColumn("z", z).filter(F.col("z") >= SIGMAS)
         terms = np.array(sorted(r["term"] for r in chosen.orderBy(F.desc("z"), "term").limit(TERMS).collect()), np.int32)
-        bits = np.zeros(1 << BITS, bool)
-        bits[terms] = True
-        packed = spark.sparkContext.broadcast(np.packbits(bits))
+        shared = spark.sparkContext.broadcast(terms)
 
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            mine = np.unpackbits(packed.value).view(bool)
+            own, bits = shared.value, hash_bits(shared.value)
             for b in batches:
-                ids = [t.tobytes() for t in text_terms(b.column(1).to_pylist(), mine)]
+                ids = [among(t, own).tobytes() for t in text_terms(b.column(1).to_pylist(), bits)]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["y", "ids"])
 
         own = rows.mapInArrow(found, "y int, ids binary").toArrow()
@@ -186,8 +205,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        bits = np.zeros(1 << BITS, bool)
-        bits[own.terms] = True
+        bits = hash_bits(own.terms)
         for b in batches:
             scores = [own.score(t) for t in text_terms(b.column(2).to_pylist(), bits)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())], [id_col, "held_out", "score", "predicted"])
@@ -204,8 +222,7 @@ def clean(docs: DataFrame, machine: Machine, text_col: str = "text", threshold:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        bits = np.zeros(1 << BITS, bool)
-        bits[own.terms] = True
+        bits = hash_bits(own.terms)
         for b in batches:
             texts = b.column(at).cast(pa.binary()).to_pylist()
             keep = [own.score(t) < threshold for t in text_terms(texts, bits)]
