@@ -3,7 +3,8 @@
 The items are groups of equal texts with the vector (bytes, tokens, rows). Each group goes where the
 dot product of its vector with the shards' residual capacity is highest. Groups of at least 1/64 of a
 shard in any dimension are few by arithmetic (at most 3 * 64 * shards); the driver places them first,
-largest first, and cuts those over half a shard into pieces. All others are dealt by hash into cells of
+largest first, and cuts those over a whole shard into pieces (over half a shard, where more than half as many
+groups as shards are so large, which could not be packed evenly). All others are dealt by hash into cells of
 about 4,000 groups; each cell is packed on its own, against its share of what the large groups leave, so
 no task and no driver holds more than a cell.
 
@@ -24,8 +25,8 @@ from .common import WORD, text_of, written
 
 #: A group with at least this part of a shard, in any dimension, is placed by the driver.
 HEAVY = 1 / 64
-#: A group over this part of a shard is cut into pieces.
-WHOLE = 1 / 2
+#: A group over the first part of a shard is cut into pieces; over the second, if there are many such groups.
+WHOLE, HALF = 1.0, 1 / 2
 PIECES = 256
 GROUPS_PER_CELL = 4_000
 ROWS_PER_SLOT_CELL = 40_000
@@ -65,8 +66,9 @@ def shard(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col:
     whole = np.array([max(1, total[x] or 0) for x in DIMENSIONS], float)
     part = F.greatest(*(F.col(x) * float(n_shards / w) for x, w in zip(DIMENSIONS, whole, strict=True)))
     heavy = [r for r in groups.filter(part >= HEAVY).withColumn("part", part).collect()]
-    split = [r["key"] for r in heavy if r["part"] > WHOLE]
-    items = [(r["key"], -1, [r[x] for x in DIMENSIONS]) for r in heavy if r["part"] <= WHOLE]
+    most = WHOLE if sum(r["part"] > HALF for r in heavy) <= n_shards / 2 else HALF
+    split = [r["key"] for r in heavy if r["part"] > most]
+    items = [(r["key"], -1, [r[x] for x in DIMENSIONS]) for r in heavy if r["part"] <= most]
     if split:
         pieces = rows.filter(F.col("key").isin(split)).groupBy("key", "piece").agg(*sums).collect()
         items += [(r["key"], r["piece"], [r[x] for x in DIMENSIONS]) for r in pieces]
