@@ -73,11 +73,11 @@ class CorpusEngine:
         if "ocr" in steps:
             pages = readers.page_images(self.spark, source_folder)
             if not global_work:  # works without a translation are skipped
-                pages = pages.join(readers.translations(self.spark, target_folder).select("work_id"), "work_id", "left_semi")
+                pages = pages.join(readers.translations(self.spark, target_folder, exact=True).select("work_id"), "work_id", "left_semi")
             source = out = self.source_texts(pages)
         if "segment" in steps:
             source = source if source is not None else self.stored("source_raw")
-            target = self.target_texts(readers.translations(self.spark, target_folder))
+            target = self.target_texts(readers.translations(self.spark, target_folder, exact=not global_work))
             if global_work:
                 source, target = global_text(source), global_text(target)
             else:

@@ -32,9 +32,9 @@ def works(spark: SparkSession, folder: str) -> DataFrame:
     return _files(spark, f"{folder.rstrip('/')}/*/*").select(F.element_at(F.split("path", "/"), -2).alias("work_id")).distinct()
 
 
-def translations(spark: SparkSession, folder: str) -> DataFrame:
-    """work_id, path, content of the PDF files of a folder."""
-    own = _files(spark, f"{folder.rstrip('/')}/*").filter(F.col("path").rlike(PDF))
+def translations(spark: SparkSession, folder: str, exact: bool = False) -> DataFrame:
+    """work_id, path, content of the PDF files of a folder; ``exact``: only those that end in lower-case .pdf."""
+    own = _files(spark, f"{folder.rstrip('/')}/*").filter(F.endswith("path", F.lit(".pdf")) if exact else F.col("path").rlike(PDF))
     return own.select(F.regexp_replace(T.file_name(F.col("path")), PDF, "").alias("work_id"), "path", "content")
 
 

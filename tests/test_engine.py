@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pairloom.__main__ import main
+from pairloom.plans import settings
 from pairloom.plans.engine import CorpusEngine
 from pairloom.sources import providers, readers, sinks
 from pairloom.streaming import ingest
@@ -27,7 +29,7 @@ def corpus(tmp_path):
         for name, text in pages.items():
             (tmp_path / "source" / work / name).write_text(text)
     (tmp_path / "target").mkdir()
-    for name in ("a.pdf", "c.PDF", "z.pdf", "d.txt"):
+    for name in ("a.pdf", "b.PDF", "c.pdf", "z.pdf", "d.txt"):
         (tmp_path / "target" / name).write_bytes(b"%PDF")
     return tmp_path
 
@@ -36,7 +38,8 @@ def test_sources(spark, corpus):
     pages = readers.page_images(spark, f"file://{corpus}/source").select("work_id", "page_no", "file_name").collect()
     assert sorted(map(tuple, pages)) == [("a", 0, "p1.png"), ("a", 1, "p2.JPG"), ("b", 0, "p1.jpeg"), ("c", 0, "p10.png"), ("c", 1, "p2.png")]
     assert sorted(r.work_id for r in readers.works(spark, f"file://{corpus}/source").collect()) == ["a", "b", "c"]
-    assert sorted(r.work_id for r in readers.translations(spark, f"file://{corpus}/target").collect()) == ["a", "c", "z"]
+    assert sorted(r.work_id for r in readers.translations(spark, f"file://{corpus}/target").collect()) == ["a", "b", "c", "z"]
+    assert sorted(r.work_id for r in readers.translations(spark, f"file://{corpus}/target", exact=True).collect()) == ["a", "c", "z"]
     (corpus / "a_raw.txt").write_bytes("x\r\ny\rz".encode())
     assert [tuple(r) for r in readers.raw_texts(spark, f"file://{corpus}/*_raw.txt", "_raw.txt").collect()] == [("a", "x\ny\nz")]
 
@@ -47,7 +50,7 @@ def test_engine_steps_and_restart(spark, corpus):
     pairs = engine.run(f"file://{corpus}/source", f"file://{corpus}/target").orderBy("work_id", "pair_no").collect()
     assert [(r.work_id, r.pair_id, r.source_sentence, r.target_sentence) for r in pairs] == [
         ("a", "pair_0001", "銀。", "Mock content extracted from a"), ("a", "pair_0002", "兩", "pdf"), ("a", "pair_0003", "三！", ""),
-        ("c", "pair_0001", "十", "Mock content extracted from c"), ("c", "pair_0002", "二", "PDF"),
+        ("c", "pair_0001", "十", "Mock content extracted from c"), ("c", "pair_0002", "二", "pdf"),
     ]
     again = CorpusEngine(spark, out, aligner="dynamic").run(steps=("align",))
     assert again.filter("error is not null").count() == 0 and again.count() >= 5
@@ -62,6 +65,18 @@ def test_global_mode(spark, corpus):
     assert {r.work_id for r in pairs} == {"global"}
 
 
+def test_settings_and_command_line(spark, corpus):
+    (corpus / ".env").write_text("# folders\nHAN_DIR=/x\nexport VIET_DIR = '/y z' # there\nKANDIAN_TOKEN=\"t#1\"\nnonsense\n")
+    own = settings.load({"HAN_DIR": "/w", "OTHER": "1"}, str(corpus / ".env"))
+    assert (own.source_dir, own.target_dir, own.output_dir) == ("/w", "/y z", "output")
+    assert own.keys["KANDIAN_TOKEN"] == "t#1" and own.keys["GEMINI_API_KEY"] == "" and "t#1" not in repr(own)
+    assert settings.load({}, str(corpus / "none")).source_dir == "dataset/china"
+    folders = ["--han_dir", f"file://{corpus}/source", "--viet_dir", f"file://{corpus}/target", "--output_dir", f"file://{corpus}/cli"]
+    assert main([*folders, "--recogniser", f"text={__name__}:reader", "--first-n-images", "1"], spark) == 0
+    assert main([*folders, "--step_align", "--aligner", "dynamic"], spark) == 0
+    assert spark.read.parquet(f"file://{corpus}/cli/pairs").filter("source_sentence = '銀。'").count() == 1
+
+
 def test_tsv(spark, tmp_path):
     pairs = spark.createDataFrame([(1, "pair_0001", 'a"b', ""), (2, "pair_0002", "tab\there", "x")], "pair_no int, pair_id string, source_sentence string, target_sentence string")
     sinks.pairs_tsv(pairs.coalesce(1), f"file://{tmp_path}/t")
