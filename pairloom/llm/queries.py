@@ -27,6 +27,23 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir), words=4)
 
 
+OP2_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                 ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS x FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY ALL),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n u ON u.doc_id = a JOIN n v ON v.doc_id = b WHERE 100 * c >= 80 * (u.n + v.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON edges.a = reach.r),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY ALL)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -117,4 +134,4 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_tiff_media": op10_tiff_media,
 }
-ORACLE_SQL = {"op5_exact_dedup": OP5_SQL, "op6_warc_archive": OP6_SQL, "op8_source_mixing": OP8_SQL}
+ORACLE_SQL = {"op2_minhash_near_dedup": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op6_warc_archive": OP6_SQL, "op8_source_mixing": OP8_SQL}
