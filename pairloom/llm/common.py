@@ -84,9 +84,9 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str, spread
         return big if how == "left_anti" else big.join(F.broadcast(small), on, how)
     if small.count() <= (BROADCAST_ROWS if limit is None else limit):
         return big.join(F.broadcast(small), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    salted = big.withColumn("_pairloom_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    copies = small.withColumn("_pairloom_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*on, "_pairloom_salt"], how).drop("_pairloom_salt")
 
 
 def text_of(column: str = "text") -> Column:
