@@ -216,14 +216,20 @@ def half(id_col: str = "doc_id") -> Column:
     return F.pmod(F.xxhash64(id_col), F.lit(2)) == 0
 
 
-def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``exact_dedup`` drops; columns and kept rows stay as they are."""
-    kept = exact_dedup(docs, half()).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept_sha"))
-    kept = written(kept, "kept")
-    sha = "_pairloom_sha"
-    own = docs.withColumn(sha, F.sha2(text_of(), 256))
-    out = own.join(kept, own["doc_id"].eqNullSafe(kept["_id"]) & (own[sha] == kept["_kept_sha"]), "left_semi")
-    again = own.groupBy("doc_id", sha).count().filter("count > 1")
-    if len(again.head(1)):  # rows that repeat an id and a text: one of them
-        out = out.dropDuplicates(["doc_id", sha])
-    return out.drop(sha)
+def drop_copies(docs: DataFrame, limit: int | None = None) -> DataFrame:
+    """``docs`` without the rows that ``exact_dedup`` drops; columns and kept rows stay as they are.
+
+    Only the ids and digests of what goes meet the documents, so no text is shuffled while these are few.
+    """
+    found = exact_dedup(docs, half(), limit=limit).filter("not kept")
+    sha, name = "_pairloom_sha", "_pairloom_id"
+    ident = F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("n"))
+    gone = found.select(ident.alias(name), F.col("text_sha256").alias(sha), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("again"))
+    gone = written(gone.distinct(), "gone")
+    own = docs.withColumns({name: ident, sha: F.sha2(text_of(), 256)})
+    out = join_small(own, gone.filter("not again").select(name, sha), [name, sha], "left_anti", ["text"], limit)
+    again = gone.filter("again").select(name, sha)
+    if len(again.head(1)):  # rows that repeat an id and its text: one of them stays
+        once = join_small(out, again, [name, sha], "left_semi", ["text"], limit).dropDuplicates([name, sha])
+        out = join_small(out, again, [name, sha], "left_anti", ["text"], limit).unionByName(once)
+    return out.drop(name, sha)

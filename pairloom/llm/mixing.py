@@ -48,13 +48,20 @@ def id_hash(id_col: str = "doc_id") -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = MOST, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", limit: int | None = None) -> DataFrame:
-    """id_col, source, size, source_size, target, taken (words, repeats counted), times (repeats of the document)."""
-    sized = docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"), id_hash(id_col).alias("h")
-    )
-    key = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("k")  # a key without nulls
-    rows = written(sized.select("id", "source", key, "size", "h"), "sizes")
+def source_key(source_col: str = "source") -> Column:
+    """A key without nulls."""
+    return F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n"))
+
+
+def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """id, source, k (its key), size (words), h (hash of the id) of each document, as a written table."""
+    size = F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long")
+    return written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), source_key(source_col).alias("k"), size.alias("size"), id_hash(id_col).alias("h")), "sizes")
+
+
+def decisions(rows: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = MOST, limit: int | None = None) -> DataFrame:
+    """What decides on the documents of each source: k, source_size, target, full, threshold, closing; ``rows`` as of ``sizes``."""
+    key = source_key().alias("k")
     per = targets(rows.groupBy("k", "source").agg(F.sum("size").alias("source_size")).drop("k"), weights, most)
     per = per.select(key, "source_size", "target", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("full"))
     per = written(per.withColumn("budget", F.col("target") - F.col("full") * F.col("source_size")), "targets")
@@ -78,16 +85,31 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = MOST,
     # rows with one id are one unit; the unit whose words come nearest to the gap, if nearer than none
     units = seen.groupBy("k", "gap", "h").agg(F.sum("size").alias("size"))
     best = units.groupBy("k", "gap").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "h")).alias("b")).filter("b.off < gap")
-    last = written(last.join(best.select("k", F.col("b.h").alias("closing")), "k", "left").drop("below", "gap", "budget"), "decided")
-    out = join_small(rows, last, ["k"], "left", ["h"], limit)
-    once = F.when(F.col("threshold").isNull(), F.lit(0)).when((F.col("h") < F.col("threshold")) | F.coalesce(F.col("h") == F.col("closing"), F.lit(False)), F.lit(1)).otherwise(F.lit(0))
-    times = (F.col("full") + once).cast("long")
-    return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", (F.col("size") * times).alias("taken"), times.alias("times"))
-
-
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as many times as the mix takes it: the mixed corpus itself."""
-    found = mix(docs, **options).filter("times > 0")
-    times = written(found.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("times").alias("_times")).distinct(), "times")
-    joined = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"]) & docs["source"].eqNullSafe(times["_source"]))
-    return joined.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), times["_times"].cast("int"))).alias("_pairloom_n")).drop("_pairloom_n")
+    return written(last.join(best.select("k", F.col("b.h").alias("closing")), "k", "left").drop("below", "gap", "budget"), "decided")
+
+
+def times(h: Column, full: Column, threshold: Column, closing: Column) -> Column:
+    """How often a document with the hash ``h`` is taken; the other columns are its source's of ``decisions``."""
+    once = F.coalesce((h < threshold) | F.coalesce(h == closing, F.lit(False)), F.lit(False))
+    return (full + once.cast("int")).cast("long")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = MOST, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", limit: int | None = None) -> DataFrame:
+    """id_col, source, size, source_size, target, taken (words, repeats counted), times (repeats of the document)."""
+    rows = sizes(docs, id_col, text_col, source_col)
+    out = join_small(rows, decisions(rows, weights, most, limit), ["k"], "left", ["h"], limit).withColumn("times", times(*map(F.col, ("h", "full", "threshold", "closing"))))
+    return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times")
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = MOST, limit: int | None = None) -> DataFrame:
+    """The rows of ``docs``, each as many times as the mix takes it: the mixed corpus itself.
+
+    Documents meet only the decision of their source, so with up to BROADCAST_ROWS sources no text is shuffled.
+    """
+    found = decisions(sizes(docs), weights, most, limit)
+    inner = {c: f"_pairloom_{c}" for c in ("k", "full", "threshold", "closing")}
+    keyed = docs.withColumns({"_pairloom_k": source_key(), "_pairloom_h": id_hash()})
+    joined = join_small(keyed, found.select(*(F.col(c).alias(x) for c, x in inner.items())), ["_pairloom_k"], "inner", ["_pairloom_h"], limit)
+    n = times(F.col("_pairloom_h"), *(F.col(inner[c]) for c in ("full", "threshold", "closing")))
+    kept = joined.withColumn("_pairloom_n", n).filter("_pairloom_n > 0")
+    return kept.select(*(kept[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("_pairloom_n").cast("int"))).alias("_pairloom_n")).drop("_pairloom_n")

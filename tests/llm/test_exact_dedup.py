@@ -62,10 +62,11 @@ def test_empty(spark):
     assert exact_dedup(spark.createDataFrame([], SCHEMA), half()).collect() == []
 
 
-def test_drop_copies_keeps_columns(spark):
+@pytest.mark.parametrize("limit", [None, 0])
+def test_drop_copies_keeps_columns(spark, limit):
     data = rows(9)
     docs = spark.createDataFrame(data, SCHEMA)
-    out = drop_copies(docs)
+    out = drop_copies(docs, limit)
     assert out.columns == docs.columns
     got = out.collect()
     assert sorted(r.text or "" for r in got) == sorted(brute(data))

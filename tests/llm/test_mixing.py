@@ -71,6 +71,7 @@ def test_reruns_agree_and_documents_repeat(spark):
         seen[r.doc_id] = seen.get(r.doc_id, 0) + 1
     for i, k in times.items():
         assert seen.get(i, 0) == k * (2 if i == 5000 else 1)
+    assert sorted(map(str, mixed_documents(docs, limit=0).collect())) == sorted(map(str, out.collect()))
 
 
 def test_targets_stop_at_the_cap(spark):
