@@ -29,13 +29,13 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
-from .common import tokenizer_path
+from .common import tidy, tokenizer_path
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Chunks are 2**CHUNK_BITS bytes on average, and MOST at most.
 CHUNK_BITS, MOST = 10, 16_384
-#: Bytes of chunks in a worker's cache; their tokens take about as much again.
-CACHE_BYTES = 32 << 20
+#: Bytes that a worker's cache takes: chunks, their tokens, and ENTRY for the objects around each.
+CACHE_BYTES, ENTRY = 16 << 20, 400
 _GEAR = np.frombuffer(hashlib.shake_128(b"gear").digest(1024), "<u4")
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = True
@@ -102,11 +102,16 @@ class Codec:
         found = (first, last, self.direct(data[first:last]) if len(at) else np.empty(0, np.uint32))
         self.encoded += max(0, last - first)
         self.cache[data] = found
-        self.held += len(data)
+        self.held += self._size(data, found[2])
         while self.held > self.room:
-            self.held -= len(self.cache.popitem(last=False)[0])
+            old, (_, _, ids) = self.cache.popitem(last=False)
+            self.held -= self._size(old, ids)
         return found
 
+    @staticmethod
+    def _size(data: bytes, ids: np.ndarray) -> int:
+        return len(data) + ids.nbytes + ENTRY
+
     def segment(self, data: bytes) -> list[np.ndarray]:
         if len(data) < 2 << self.bits:
             return [self.direct(data)]
@@ -166,7 +171,7 @@ def _mapped(docs: DataFrame, columns: list[str], schema: str, row: Callable[[Cod
                 columns_out = zip(*rows, strict=True) if rows else [[] for _ in names]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(list(c)) for c in columns_out)], [columns[0], *names])
 
-    return out(run, f"`{columns[0]}` {kind}, {schema}")
+    return out(tidy(run), f"`{columns[0]}` {kind}, {schema}")
 
 
 def _bytes(x: pa.Scalar) -> bytes:

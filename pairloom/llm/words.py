@@ -17,7 +17,7 @@ _RANDOM = np.frombuffer(hashlib.shake_128(b"bytes").digest(2048), "<u8").copy()
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 1 << 64)
 #: Bytes hashed at a time; longer only where one word is.
-WINDOW = 1 << 20
+WINDOW = 1 << 18
 SPACE = b" \t\n\x0b\x0c\r"
 
 
@@ -32,7 +32,7 @@ def mapping(lower: bool = True, also_space: bytes = b"") -> bytes:
     return bytes(out)
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, _BASE, np.uint64), np.full(n, _UNBASE, np.uint64)
     up[0] = down[0] = 1
