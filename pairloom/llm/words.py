@@ -65,11 +65,11 @@ class Spans:
 
 
 def windows(data: bytes) -> Iterator[bytes]:
-    """``data`` (mapped) in pieces of about WINDOW bytes, cut at spaces."""
+    """``data`` (mapped) in pieces of about WINDOW bytes, cut at spaces; a piece after the first begins with its space."""
     start = 0
     while len(data) - start > WINDOW:
-        end = data.rfind(b" ", start, start + WINDOW)
-        if end < start:
+        end = data.rfind(b" ", start + 1, start + WINDOW)
+        if end < 0:
             end = data.find(b" ", start + WINDOW)
             if end < 0:
                 break
