@@ -1,8 +1,9 @@
 """Main text of web pages by two-pass block rules.
 
 The page is cut into blocks at block-level tags. Blocks in menus, footers, asides, forms and in containers
-whose class, id or role names one of these are set aside. Pass one decides each block left by its length, its share of
-link text and its density of stop words; short blocks, and long ones of an article with few stop words, stay
+whose role, or whose whole class or id, names one of these are set aside; those of a container that may hold the text all
+the same come back if they are more than the rest. Pass one decides each block left by its length, its share of
+link text and its density of stop words; short blocks, and long ones with few links and few stop words, stay
 open. In pass two an open block takes the label of its nearest decided neighbours in the same region (an
 article, the main part, or the rest of the page); where these differ, or where the region has none, it
 is kept. Regions of a page without an article are treated by the stricter rules of the first pass.
@@ -46,14 +47,27 @@ _PLAIN = frozenset("abbr acronym b bdi bdo big cite code del dfn em font i ins k
 _RAW = frozenset("iframe math noembed noframes noscript object script select style svg template textarea title xmp".split())
 _ASIDE = frozenset("aside button dialog fieldset footer form head menu nav".split())
 _ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising advertisements adsense banner breadcrumb breadcrumbs byline-share comment comments commentlist consent cookie cookies disclaimer disqus "
-    "footer gdpr login masthead menu menus modal nav navbar navigation navi newsletter notice notices pagination pager paywall popup promo promotion promoted recommended related respond "
-    "share sharing sidebar sidebars signup sitenav skyscraper social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
+#: Names of what is never the text of a page.
+_NEVER = frozenset(
+    "ad ads adv advert adverts advertisement advertising advertisements adsense breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus "
+    "footer gdpr login nav navbar navi pager pagination signup sitenav skyscraper sponsor sponsored".split()
 )
+#: Names that wrappers of a whole text have too: the text comes back where it outweighs the rest of the page.
+_SELDOM = frozenset(
+    "banner byline disclaimer masthead menu menus modal navigation newsletter notice notices paywall popup promo promotion promoted recommended related respond "
+    "share sharing sidebar sidebars social subscribe subscription toolbar topbar".split()
+)
+#: Words of layout that may stand beside these in a class or id.
+_LAYOUT = frozenset(
+    "area article bar blog block body bottom box btn button buttons center col column container desktop fixed floating global group header icons inline inner item items left "
+    "link links list local main mobile outer page panel post posts primary reader right secondary section sharing site slot sticky tag text title top unit user widget widgets wrap wrapper".split()
+)
+#: Of these, what the wrapper of a page is told by that has such a part in this place.
+_PLACES = frozenset("body bottom fixed left main page right sticky top".split())
 _TAG = re.compile(r"""<(?:!--(?:>|->|.*?(?:-->|--!>|\Z))|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|[!?/][^>]*(?:>|\Z))""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
+_HEADING = re.compile("h[1-6]")
 _EDGES = re.compile("[.,;:!?()\"'«»]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -64,39 +78,52 @@ class Block:
     links: int  # characters in links
     region: int  # 0 is the page itself
     heading: bool
+    named: int = 0  # 0 is outside of containers whose class or id names other matter
+
 
+def _names(value: str) -> int:
+    """2 if one of the names says that it is never text, 1 if one says that it seldom is. The whole name has to."""
+    most = 0
+    for name in value.split():
+        parts = {x.lower() for x in _WORDS.findall(name)} if name.isascii() else set()
+        known = parts & (_NEVER | _SELDOM)
+        if known and all(x in known or x in _LAYOUT or x.isdigit() for x in parts):
+            most = max(most, 2 if known & _NEVER and not parts & _PLACES else 1)
+    return most
 
-def _aside(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is set aside whole: by what it is, or by what its class, id or role names."""
+
+def _aside(tag: str, attributes: str, in_article: bool) -> int:
+    """Whether an element is set aside: 2 for good, by what it is, or by its class, id or role; 1 if it is only named so."""
     if tag in _ASIDE or tag == "header" and not in_article:
-        return True
+        return 2
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
+    most = 0
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next(filter(None, values), "")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDDEN.search(value):
-            return True
+            return 2
         if name == "role" and value.lower() in _ROLES:
-            return True
-        if name in ("class", "id") and not _NAMES.isdisjoint(x.lower() for x in _WORDS.findall(value)):
-            return True
-    return False
+            return 2
+        if name == "class" or name == "id" and not _HEADING.fullmatch(tag):  # a heading's id tells what it is about
+            most = max(most, _names(value))
+    return most
 
 
 def blocks(page: str) -> list[Block]:
-    """The blocks of a page that are not set aside, in order."""
+    """The blocks of a page that are not set aside for good, in order."""
     found: list[Block] = []
     text: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, set aside, region
-    at, aside, region, regions, link, heading = 0, 0, 0, 0, False, False
+    stack: list[tuple[str, bool, int, int]] = []  # tag, set aside, region and named container outside
+    at, aside, region, regions, named, containers, link, heading = 0, 0, 0, 0, 0, 0, False, False
 
     def flush() -> None:
         nonlocal link
         if text:
             whole = " ".join(html.unescape("".join(text)).split())
             if whole:
-                found.append(Block(whole, len(" ".join(html.unescape(" ".join(linked)).split())) if linked else 0, region, heading))
+                found.append(Block(whole, len(" ".join(html.unescape(" ".join(linked)).split())) if linked else 0, region, heading, named))
             text.clear()
             linked.clear()
 
@@ -107,9 +134,11 @@ def blocks(page: str) -> list[Block]:
                 linked.append(piece)
 
     def pop() -> None:
-        nonlocal aside, region
-        _, was_aside, region = stack.pop()
-        aside -= was_aside
+        nonlocal aside, region, named
+        _, was_aside, was_region, was_named = stack.pop()
+        if named != was_named:
+            flush()
+        aside, region, named = aside - was_aside, was_region, was_named
 
     n = len(page)
     while at < n:
@@ -162,8 +191,13 @@ def blocks(page: str) -> list[Block]:
             continue
         if attributes.endswith("/") and not block:
             continue
-        stack.append((tag, drop, region))
-        aside += drop
+        inline = tag in _PLAIN or tag in ("span", "label")
+        stack.append((tag, drop == 2 or drop == 1 and inline, region, named))
+        aside += stack[-1][1]
+        if drop == 1 and not inline and not named:
+            flush()
+            containers += 1
+            named = containers
         if tag in ("article", "main") and not in_article:
             regions += 1
             region = regions
@@ -215,9 +249,26 @@ def labels(found: list[Block]) -> list[bool]:
     return out
 
 
+def _size(found: list[Block], least: int = 0) -> int:
+    """Characters of the blocks that are text and have at least ``least``."""
+    return sum(len(b.text) for b, keep in zip(found, labels(found), strict=True) if keep and len(b.text) >= least)
+
+
+def _with_named(found: list[Block]) -> list[Block]:
+    """The blocks outside of named containers, and of such containers as hold more text than all of these."""
+    plain = [b for b in found if not b.named]
+    if len(plain) == len(found):
+        return found
+    rest, groups = _size(plain), {}
+    for b in found:
+        groups.setdefault(b.named, []).append(b)
+    back = {k for k, group in groups.items() if not k or _size(group, LENGTH) > rest}
+    return [b for b in found if b.named in back]
+
+
 def extract(page: str | None) -> str:
     """The main text: its blocks in order, one per line. Where a page has an article, that alone is read."""
-    found = blocks(page or "")
+    found = _with_named(blocks(page or ""))
     if any(b.region for b in found):
         found = [b for b in found if b.region]
     return "\n".join(b.text for b, keep in zip(found, labels(found), strict=True) if keep)

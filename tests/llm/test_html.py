@@ -47,6 +47,24 @@ def test_many_blocks_and_depth():
     assert extract("<p>" + "word " * 200_000 + "</p>").count("word") in (0, 200_000)
 
 
+NAMED = [
+    (f"<article><div class='elementor-widget elementor-widget-text-editor'><p>{P}</p></div></article>", P),
+    (f"<div class='content no-sidebar'><p>{P}</p></div>", P),
+    (f"<div class='has-sidebar layout-ad-free'><p>{P}</p></div>", P),
+    (f"<article><h2 id='related-work'>Related</h2><p>{P}</p><section id='notice-periods'><h2 id='notice'>Notice</h2><p>{P}</p></section></article>", f"Related\n{P}\nNotice\n{P}"),
+    (f"<div class='page right-sidebar'><h1>T</h1><p>{P}</p><p>{P}</p><div class=ad>{P}</div></div><p>Short.</p>", f"T\n{P}\n{P}\nShort."),
+    (f"<div class='navbar-fixed'><p>{P}</p></div>", P),
+    (f"<article><div class=paywall><p>{P}</p><p>{P}</p></div><p>Lead.</p></article>", f"{P}\n{P}\nLead."),
+    (f"<div><p>{P} {P}</p></div><div class='site-sidebar'><p>{P}</p></div><div id=related><p>{P}</p></div><div class='sidebar-widget'>x</div>", f"{P} {P}"),
+    (f"<p>{P}</p><div class='comment-list'><p>{P}</p><p>{P}</p></div>", P),
+]
+
+
+@pytest.mark.parametrize("page, text", NAMED)
+def test_names(page, text):
+    assert extract(page) == text
+
+
 def test_operator(spark):
     rows = [(i, f"u{i}", h, "x") for i, (h, _) in enumerate(CASES)] + [(None, None, CASES[3][0], "x"), (3, "again", CASES[3][0], "x")]
     docs = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
