@@ -4,9 +4,9 @@ The page is cut into blocks at block-level tags. Blocks in menus, footers, aside
 whose role, or whose whole class or id, names one of these are set aside; those of a container that may hold the text all
 the same come back if they are more than the rest. Pass one decides each block left by its length, its share of
 link text and its density of stop words; short blocks, and long ones with few links and few stop words, stay
-open. In pass two an open block takes the label of its nearest decided neighbours in the same region (an
-article, the main part, or the rest of the page); where these differ, or where the region has none, it
-is kept. Regions of a page without an article are treated by the stricter rules of the first pass.
+open, and the long ones are text where no list of stop words fits the page. In pass two an open block takes the label of its
+nearest decided neighbours in the same region (an article, the main part, or the rest of the page); where these
+differ, or where the region has none, it is kept. An article hides what is outside if it holds at least as much text.
 
 Nulls and edges: a null or empty page has the text ""; broken markup, cut tags and unclosed elements are read as far
 as they go; pages of any length are read whole; null or repeated ids and addresses are kept as they are;
@@ -222,9 +222,19 @@ def first_pass(b: Block) -> bool | None:
     return density(b.text) >= STOPS
 
 
+def _open(found: list[Block], first: list[bool | None]) -> list[bool | None]:
+    """Labels where long blocks of few links and stop words are open, or text if no list of stop words fits the page."""
+    long = [len(b.text) >= LENGTH and b.links < LINKS * len(b.text) for b in found]
+    if all(x is True for x, y in zip(first, long, strict=True) if y):
+        return first
+    texts = [b.text for b, y in zip(found, long, strict=True) if y]
+    fits = sum(len(t) * density(t) for t in texts) >= STOPS * sum(map(len, texts))
+    return [(None if fits else True) if y and x is not True else x for x, y in zip(first, long, strict=True)]
+
+
 def labels(found: list[Block]) -> list[bool]:
     """Both passes: whether each block is text."""
-    first = [first_pass(b) for b in found]
+    first = _open(found, [first_pass(b) for b in found])
 
     def nearest(order: range) -> list[bool | None]:
         """The label of the nearest decided block of the same region that comes earlier in ``order``."""
@@ -267,11 +277,16 @@ def _with_named(found: list[Block]) -> list[Block]:
 
 
 def extract(page: str | None) -> str:
-    """The main text: its blocks in order, one per line. Where a page has an article, that alone is read."""
+    """The main text: its blocks in order, one per line. An article that holds more than what is outside hides that."""
     found = _with_named(blocks(page or ""))
-    if any(b.region for b in found):
-        found = [b for b in found if b.region]
-    return "\n".join(b.text for b, keep in zip(found, labels(found), strict=True) if keep)
+    kept = [b for b, keep in zip(found, labels(found), strict=True) if keep]
+    sizes: dict[int, int] = {}
+    for b in kept:
+        sizes[b.region] = sizes.get(b.region, 0) + len(b.text)
+    outside = sizes.pop(0, 0)
+    if sizes and max(sizes.values()) >= outside:
+        kept = [b for b in kept if b.region]
+    return "\n".join(b.text for b in kept)
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -65,6 +65,27 @@ def test_names(page, text):
     assert extract(page) == text
 
 
+IT = "Nel pomeriggio gli studenti hanno visitato musei, chiese, mercati e giardini della vecchia capitale piemontese."
+ZH = "这是一个很长的段落，" * 12
+TABLE = "Year 2019 2020 2021 2022 Rows 10452 11873 12990 14001 Mass 3.14 2.72 1.62 0.58"
+MENU = "<ul>" + "<li><a href=x>One of the links of a menu</a></li>" * 3 + "</ul>"
+OPEN = [
+    (f"{MENU}<div><h1>Gita</h1><p>{IT}</p><p>Breve.</p></div>{MENU}", f"Gita\n{IT}\nBreve."),
+    (f"{MENU}<div><p>{ZH}</p></div>{MENU}", ZH),
+    (f"<div><p>{P}</p><p>{TABLE}</p><p>{P}</p></div>{MENU}", f"{P}\n{TABLE}\n{P}"),
+    (f"<article>{MENU}<p>{ZH}</p>{MENU}</article>", ZH),
+    ("<p>" + "word " * 200_000 + "</p>", ("word " * 200_000).strip()),
+    (f"<div><p>{P}</p><p>{P}</p></div><article><p>A teaser card.</p></article>", f"{P}\n{P}\nA teaser card."),
+    (f"<p>{P}</p><article><p>{P}</p><p>{P}</p></article>{MENU}", f"{P}\n{P}"),
+    (f"<p>{P}</p><p>{P} {P}</p>" + f"<article>{P}</article>" * 5, "\n".join([P, f"{P} {P}", *[P] * 5])),
+]
+
+
+@pytest.mark.parametrize("page, text", OPEN)
+def test_open_blocks_and_articles(page, text):
+    assert extract(page) == text
+
+
 def test_operator(spark):
     rows = [(i, f"u{i}", h, "x") for i, (h, _) in enumerate(CASES)] + [(None, None, CASES[3][0], "x"), (3, "again", CASES[3][0], "x")]
     docs = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
