@@ -1,13 +1,16 @@
-"""Media columns in TIFF: writes bytes as grey pages and reads any baseline file, one row per page.
+"""Media columns in TIFF: writes bytes as grey pages and reads files page by page, one row per page.
 
 The reader walks the chain of image directories (classic and big files, either byte order), decodes
-uncompressed, PackBits, LZW or deflate strips and tiles, undoes the horizontal predictor, and joins planes.
+uncompressed, PackBits, LZW or deflate strips and tiles of 1, 2, 4, 8, 16 or 32 bits a sample in either fill
+order, undoes the horizontal predictor, and joins planes. CCITT and JPEG data, samples of other or unequal sizes and
+pages of more than ``MOST_BYTES`` are not decoded.
 The writer makes pages of at most ``PAGE_ROWS`` rows in strips of ``STRIP_ROWS``, so that neither needs
 more than one page at a time beside the stored file.
 
 Nulls and edges: a null text counts as empty, and its payload is one row of padding; a null or broken file
-gives one row that has only ``error``, and pages before the broken one are still read; directories
-that form a loop end the walk with an error; null or repeated ids are kept as they are; extra columns
+gives one row that has only ``error``; a page that is broken or not decoded gives a row of its number and ``error``,
+and the pages before and after it are still read; directories
+that form a loop, or one whose successor cannot be read, end the walk with an error; null or repeated ids are kept as they are; extra columns
 are ignored.
 """
 
@@ -29,8 +32,11 @@ WIDTH, STRIP_ROWS, PAGE_ROWS = 576, 64, 1024
 NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 _SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8, 13: 4, 16: 8, 17: 8, 18: 8}
 _CODES = {1: "B", 3: "H", 4: "I", 13: "I", 16: "Q", 18: "Q", 6: "b", 8: "h", 9: "i", 17: "q"}
-#: No page of more samples than this is decoded: its directory is taken to be broken.
+#: No page of more bytes than this is decoded: its directory is taken to be broken.
 MOST_BYTES = 1 << 30
+#: What reading broken files can raise.
+BROKEN = (ValueError, LookupError, ArithmeticError, TypeError, MemoryError, struct.error, zlib.error)
+_REVERSED = bytes(int(f"{i:08b}"[::-1], 2) for i in range(256))
 
 
 @dataclass
@@ -42,7 +48,7 @@ class Page:
     bits: int
     compression: int
     predictor: int
-    data: bytes  # row by row, samples of a pixel together, little-endian
+    data: bytes  # row by row, samples of a pixel together, little-endian; a byte for a sample of less than 8 bits
 
 
 def pack_bits(data: bytes) -> bytes:
@@ -201,8 +207,8 @@ def write_tiff(payload: bytes, how: int = DEFLATE, predictor: int = 1, width: in
     return bytes(out)
 
 
-def read_tiff(data: bytes) -> Iterator[Page]:
-    """The pages of a file, one by one."""
+def _directories(data: bytes) -> Iterator[tuple[int, str, bool, int, int]]:
+    """Number, byte order, whether big, place of the first entry and count of entries, of each directory."""
     if data[:2] not in (b"II", b"MM"):
         raise ValueError("not a TIFF file")
     e = "<" if data[:2] == b"II" else ">"
@@ -218,31 +224,65 @@ def read_tiff(data: bytes) -> Iterator[Page]:
         seen.add(place)
         n = struct.unpack_from(e + ("Q" if big else "H"), data, place)[0]
         at, step = place + (8 if big else 2), 20 if big else 12
-        tags = {}
-        for i in range(n):
-            tag, kind, count = struct.unpack_from(e + ("HHQ" if big else "HHI"), data, at + i * step)
-            if kind not in _CODES or count > len(data):
-                continue
-            inside, value = (8 if big else 4), at + (i + 1) * step - (8 if big else 4)
-            if _SIZES[kind] * count > inside:
-                value = struct.unpack_from(e + ("Q" if big else "I"), data, value)[0]
-            tags[tag] = struct.unpack_from(f"{e}{count}{_CODES[kind]}", data, value)
-        yield _page(data, tags, e, len(seen) - 1)
+        yield len(seen) - 1, e, big, at, n
         place = struct.unpack_from(e + ("Q" if big else "I"), data, at + n * step)[0]
 
 
+def _tags(data: bytes, e: str, big: bool, at: int, n: int) -> dict[int, tuple]:
+    step, tags = 20 if big else 12, {}
+    for i in range(n):
+        tag, kind, count = struct.unpack_from(e + ("HHQ" if big else "HHI"), data, at + i * step)
+        if kind not in _CODES or count > len(data):
+            continue
+        inside, value = (8 if big else 4), at + (i + 1) * step - (8 if big else 4)
+        if _SIZES[kind] * count > inside:
+            value = struct.unpack_from(e + ("Q" if big else "I"), data, value)[0]
+        tags[tag] = struct.unpack_from(f"{e}{count}{_CODES[kind]}", data, value)
+    return tags
+
+
+def read_tiff(data: bytes) -> Iterator[Page]:
+    """The pages of a file, one by one; ends with an error at the first that cannot be read."""
+    for number, e, *where in _directories(data):
+        yield _page(data, _tags(data, e, *where), e, number)
+
+
+def read_each(data: bytes) -> Iterator[tuple[int | None, Page | None, str | None]]:
+    """Number, page and error of each page: bad pages are passed over, a broken walk gives a last error without number."""
+    try:
+        for number, e, *where in _directories(data):
+            try:
+                page, error = _page(data, _tags(data, e, *where), e, number), None
+            except BROKEN as x:
+                page, error = None, str(x) or type(x).__name__
+            yield number, page, error
+    except BROKEN as x:
+        yield None, None, str(x) or type(x).__name__
+
+
+def _samples(block: bytes, shape: tuple[int, int, int], bits: int) -> np.ndarray:
+    """Samples of 1, 2 or 4 bits, high bits first and each row in whole bytes, as a byte each."""
+    rows, w, each = shape
+    packed, each_byte = np.frombuffer(block, np.uint8).reshape(rows, -1), 8 // bits
+    out = np.empty((rows, packed.shape[1] * each_byte), np.uint8)
+    for k in range(each_byte):
+        out[:, k::each_byte] = packed >> (8 - bits * (k + 1)) & (1 << bits) - 1
+    return out[:, : w * each].reshape(shape)
+
+
 def _page(data: bytes, tags: dict[int, tuple], e: str, number: int) -> Page:
     one = lambda tag, default=None: tags[tag][0] if tags.get(tag) else default
     width, height, samples, bits = one(256), one(257), one(277, 1), one(258, 1)
     how, predictor, apart = one(259, NONE), one(317, 1), one(284, 1) == 2
-    if not width or not height or bits not in (8, 16, 32) or len(set(tags.get(258, (bits,)))) > 1:
+    if not width or not height or min(width, height, samples) < 1 or bits not in (1, 2, 4, 8, 16, 32) or len(set(tags.get(258, (bits,)))) > 1:
         raise ValueError(f"a page of {width} x {height} samples of {bits} bits is not supported")
-    if width * height * samples * bits // 8 > MOST_BYTES:
+    unit = max(1, bits // 8)
+    if width * height * samples * unit > MOST_BYTES:
         raise ValueError("the page is too large")
-    if predictor not in (1, 2):
-        raise ValueError(f"predictor {predictor} is not supported")
+    if predictor not in (1, 2) or predictor == 2 and bits < 8:
+        raise ValueError(f"predictor {predictor} of {bits} bits is not supported")
     each, planes = (1, samples) if apart else (samples, 1)
-    kind = np.dtype(f"{e}u{bits // 8}")
+    kind = np.dtype(f"{e}u{unit}")
     image = np.empty((planes, height, width, each), kind.newbyteorder("<"))
     tiled = 324 in tags
     if tiled:
@@ -250,14 +290,19 @@ def _page(data: bytes, tags: dict[int, tuple], e: str, number: int) -> Page:
     else:
         w, h, places = width, min(height, one(278, height)), tags[273]
         sizes = tags.get(279) or (len(data) - places[0],)
+    if w < 1 or h < 1 or w * h * each * unit > MOST_BYTES:
+        raise ValueError(f"strips or tiles of {w} x {h}")
     across, down = -(-width // w), -(-height // h)
     if len(places) < planes * across * down or len(sizes) < len(places):
         raise ValueError("strips or tiles are missing")
+    if min(places) < 0 or min(sizes) < 0:
+        raise ValueError("strips or tiles are before the file")
     for k in range(planes * across * down):
         plane, y, x = k // (across * down), k // across % down * h, k % across * w
         rows = h if tiled else min(h, height - y)
-        block = expanded(data[places[k] : places[k] + sizes[k]], how, rows * w * each * kind.itemsize)
-        block = np.frombuffer(block, kind).reshape(rows, w, each)
+        raw = data[places[k] : places[k] + sizes[k]]
+        block = expanded(raw.translate(_REVERSED) if one(266, 1) == 2 else raw, how, rows * -(-w * each * bits // 8))
+        block = np.frombuffer(block, kind).reshape(rows, w, each) if bits >= 8 else _samples(block, (rows, w, each), bits)
         if predictor == 2:
             block = np.cumsum(block, axis=1, dtype=kind.newbyteorder("="))
         image[plane, y : y + rows, x : x + w] = block[: height - y, : width - x]
@@ -291,24 +336,19 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how:
 
 
 def read_pages(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
-    """One row per page: id_col, page, width, height, samples, bits, compression, predictor, data binary, error."""
+    """One row per page: id_col, page, width, height, samples, bits, compression, predictor, data binary, error.
+
+    A page that cannot be read has only its number and the error; a walk that cannot go on, only the error.
+    """
     names = ["page", "width", "height", "samples", "bits", "compression", "predictor"]
     kind = media.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                pages = read_tiff(_value(b.column(1)[i]))
-                error = None
-                while error is None:
-                    try:
-                        p = next(pages)
-                        values = [p.number, p.width, p.height, p.samples, p.bits, p.compression, p.predictor]
-                        data = p.data
-                    except StopIteration:
-                        break
-                    except (ValueError, KeyError, struct.error, zlib.error, OverflowError) as x:
-                        values, data, error = [None] * 7, None, str(x) or type(x).__name__
+                for number, p, error in read_each(_value(b.column(1)[i])):
+                    values = [p.number, p.width, p.height, p.samples, p.bits, p.compression, p.predictor] if p else [number] + [None] * 6
+                    data = p.data if p else None
                     columns = [pa.array([v], pa.int32()) for v in values]
                     yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), *columns, pa.array([data], pa.binary()), pa.array([error], pa.string())], [id_col, *names, "data", "error"])
 

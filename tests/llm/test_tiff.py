@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from pairloom.llm.tiff import DEFLATE, LZW, NONE, PACKBITS, padded, read_pages, read_tiff, round_trip, store, write_tiff
+from pairloom.llm.tiff import DEFLATE, LZW, NONE, PACKBITS, compressed, padded, read_each, read_pages, read_tiff, round_trip, store, write_tiff
 
 
 @pytest.mark.parametrize("how", [NONE, LZW, DEFLATE, PACKBITS])
@@ -94,3 +94,83 @@ def test_texts(spark):
     m = {r.doc_id: r.media for r in store(docs).collect()}
     assert hashlib.sha256(m[2]).hexdigest() in {r.media_sha256 for r in got}
     assert round_trip(docs.limit(0)).collect() == []
+
+
+def chain(pages: list[tuple[dict[int, list[int]], list[bytes]]]) -> bytes:
+    """A file of the given directories; the strips' places and sizes are added (as tiles where there is a tag 322)."""
+    out, link = bytearray(b"II*\0\0\0\0\0"), 4
+    for tags, strips in pages:
+        a, b = (324, 325) if 322 in tags else (273, 279)
+        tags = tags | {a: [], b: list(map(len, strips))} if strips else tags
+        for strip in strips:
+            tags[a].append(len(out))
+            out += strip
+        entries = b""
+        for tag, values in sorted(tags.items()):
+            body = struct.pack(f"<{len(values)}I", *values)
+            if len(body) > 4:
+                body, place = struct.pack("<I", len(out)), body
+                out += place
+            entries += struct.pack("<HHI", tag, 4, len(values)) + body.ljust(4, b"\0")
+        struct.pack_into("<I", out, link, len(out))
+        out += struct.pack("<H", len(tags)) + entries + bytes(4)
+        link = len(out) - 4
+    return bytes(out)
+
+
+@pytest.mark.parametrize("bits", [1, 2, 4])
+@pytest.mark.parametrize("how", [NONE, LZW, DEFLATE, PACKBITS])
+@pytest.mark.parametrize("planar, fill, tile", [(1, 1, 0), (2, 1, 0), (1, 2, 0), (1, 1, 16), (2, 2, 16)])
+def test_samples_of_less_than_a_byte(bits, how, planar, fill, tile):
+    h, w, s = 21, 19, 3
+    image = np.random.default_rng(bits).integers(0, 1 << bits, (h, w, s)).astype(np.uint8)
+    strips = []
+    for part in [image] if planar == 1 else [image[:, :, k : k + 1] for k in range(s)]:
+        blocks = [part[y : y + 8] for y in range(0, h, 8)]
+        if tile:
+            blocks = [np.pad(b := part[y : y + 16, x : x + 16], ((0, 16 - b.shape[0]), (0, 16 - b.shape[1]), (0, 0))) for y in (0, 16) for x in (0, 16)]
+        for block in blocks:
+            data = b""
+            for row in block.reshape(len(block), -1).tolist():
+                text = "".join(f"{v:0{bits}b}" for v in row)
+                data += bytes(int(text[i : i + 8].ljust(8, "0"), 2) for i in range(0, len(text), 8))
+            data = compressed(data, how)
+            strips.append(bytes(int(f"{c:08b}"[::-1], 2) for c in data) if fill == 2 else data)
+    tags = {256: [w], 257: [h], 258: [bits] * s, 259: [how], 262: [2], 266: [fill], 277: [s], 284: [planar]}
+    (page,) = read_tiff(chain([(tags | ({322: [16], 323: [16]} if tile else {278: [8]}), strips)]))
+    assert (page.bits, page.samples, page.width, page.height) == (bits, s, w, h)
+    assert page.data == image.tobytes()
+
+
+def test_bad_pages_do_not_hide_others(spark):
+    good = {256: [4], 257: [2], 258: [8], 259: [1], 277: [1], 278: [2]}
+    data = [b"abcdefgh"]
+    bad = [
+        (good | {259: [7]}, data),
+        (good | {259: [4]}, data),
+        (good | {278: [0]}, data),
+        (good | {322: [0], 323: [16]}, data),
+        (good | {322: [16]}, data),
+        (good | {322: [1 << 31], 323: [1 << 31]}, data),
+        (good | {256: [1 << 20], 257: [1 << 20]}, data),
+        (good | {277: [0]}, data),
+        (good | {258: [12]}, data),
+        (good, [b"short"]),
+        (good, []),
+        (good | {273: [], 279: []}, []),
+        ({}, []),
+    ]
+    file = chain([(good, data), *[p for b in bad for p in (b, (good, data))]])
+    got = sorted(read_pages(spark.createDataFrame([(1, file)], "doc_id long, media binary")).collect(), key=lambda r: r.page)
+    assert [r.page for r in got] == list(range(2 * len(bad) + 1))
+    assert [bool(r.error) for r in got] == [False] + [True, False] * len(bad)
+    assert all((r.data is None) if r.error else (bytes(r.data) == data[0]) for r in got)
+
+
+def test_any_broken_byte_ends_in_rows():
+    file, r = chain([({256: [4], 257: [2], 258: [8], 259: [how], 277: [1], 278: [1], 317: [2]}, [compressed(b"abcd", how)] * 2) for how in (LZW, DEFLATE, PACKBITS)]), random.Random(1)
+    for _ in range(3000):
+        broken = bytearray(file)
+        for _ in range(r.randint(1, 4)):
+            broken[r.randrange(4, len(file))] = r.choice((0, 1, 255, r.randrange(256)))
+        assert all((p is None) != (error is None) for _, p, error in read_each(bytes(broken)))
