@@ -113,10 +113,8 @@ class Codec:
         return len(data) + ids.nbytes + ENTRY
 
     def segment(self, data: bytes) -> list[np.ndarray]:
-        if len(data) < 2 << self.bits:
-            return [self.direct(data)]
         out, seam, start = [], b"", 0
-        for end in cuts(np.frombuffer(data, np.uint8), self.bits):
+        for end in cuts(np.frombuffer(data, np.uint8), self.bits) if len(data) >= 2 << self.bits else [len(data)]:  # a short text is one chunk
             piece, start = data[start:end], end
             first, last, ids = self.chunk(piece)
             if first < 0:

@@ -98,3 +98,13 @@ def test_an_edit_encodes_a_part_only():
     tree.encoded = 0
     tree.edit(50_000, 3, b"new")
     assert 0 < tree.encoded < 2000
+
+
+def test_short_texts_are_reused():
+    codec = Codec(tokenizer_path())
+    text = "A short text of a few words, which other documents have too. ".encode() * 5
+    want = codec.encode(text)
+    assert np.array_equal(want, codec.direct(text))
+    before = codec.reused
+    assert np.array_equal(codec.encode(text), want)
+    assert codec.reused - before == len(text)
