@@ -29,7 +29,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
-from .common import tidy, tokenizer_path
+from .common import in_arrow, tokenizer_path
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Chunks are 2**CHUNK_BITS bytes on average, and MOST at most.
@@ -157,7 +157,6 @@ def _mapped(docs: DataFrame, columns: list[str], schema: str, row: Callable[[Cod
     """Applies ``row`` to the values of ``columns``, batch by batch; ``columns[0]`` is handed on as it is."""
     path = path or tokenizer_path()
     kind = docs.schema[columns[0]].dataType.simpleString()
-    out = docs.select(columns).mapInArrow
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +168,7 @@ def _mapped(docs: DataFrame, columns: list[str], schema: str, row: Callable[[Cod
                 columns_out = zip(*rows, strict=True) if rows else [[] for _ in names]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(list(c)) for c in columns_out)], [columns[0], *names])
 
-    return out(tidy(run), f"`{columns[0]}` {kind}, {schema}")
+    return in_arrow(docs.select(columns), run, f"`{columns[0]}` {kind}, {schema}")
 
 
 def _bytes(x: pa.Scalar) -> bytes:

@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 import atexit
-import ctypes
 import os
-import sys
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Most rows that are ever broadcast; counted before each broadcast. With rows of about
 #: 100 bytes this bounds a broadcast at some 10 MB, whatever the size of the corpus.
 BROADCAST_ROWS = 100_000
 #: Copies of the small side of a join that is too large to broadcast.
 SALTS = 32
+#: Rows of one key from which ``join_counted`` leaves them where they are.
+HOT_ROWS = 100_000
+#: Bytes of rows that a Python worker is given at a time, and Spark's setting for that.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: A word, as the contracts define it: ASCII white space separates.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -35,27 +39,12 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def few(spark: SparkSession, parts: int) -> int:
-    """Into how many tasks ``parts`` small ones are put together: an eighth, and three for each core at least."""
-    return max(3 * spark.sparkContext.defaultParallelism, parts // 8)
-
-
-def gathered(scan: DataFrame) -> DataFrame:
-    """A scan without a shuffle, with fewer partitions where they are many: eight splits to a file written."""
-    n = scan.rdd.getNumPartitions()
-    most = few(scan.sparkSession, n)
-    return scan.coalesce(most) if n > most else scan
-
-
-def written(df: DataFrame, name: str, small: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts the lineage, survives lost executors.
 
-    ``small``: rows of a few bytes (links, ids) after a shuffle, put into fewer files than it has partitions.
     The table lasts until ``drop_scratch`` or the end of the driver's process.
     """
     spark = df.sparkSession
-    if small:
-        df = df.coalesce(few(spark, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     path = f"{scratch_root(spark)}/pairloom-{uuid.uuid4().hex}/{name}"
     _made.append((spark, path.rpartition("/")[0]))
     df.write.parquet(path)
@@ -93,18 +82,27 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str, spread
     return salted.join(copies, [*on, "_pairloom_salt"], how).drop("_pairloom_salt")
 
 
-def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``run`` for mapInArrow; at the end of each task the worker, which later stages use again, gives back free memory."""
+def join_counted(big: DataFrame, keyed: DataFrame, on: str, most: int = HOT_ROWS) -> DataFrame:
+    """Inner join with a written table of one row per key and ``n``, the rows that ``big`` has of it.
+
+    Keys of more than ``most`` rows, of which there is one for so many rows at most, are broadcast, so that their
+    rows stay where they are; the others are shuffled.
+    """
+    hot = keyed.filter(F.col("n") > most)
+    rest = big.join(F.broadcast(hot.select(on)), on, "left_anti").join(keyed.filter(F.col("n") <= most), on)
+    return big.join(F.broadcast(hot), on).unionByName(rest)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what goes to a Python worker at once by bytes, unless the session has a bound of its own."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
-    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        if sys.platform == "linux":
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
 
-    return tidied
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` in batches of at most BATCH_BYTES and one row."""
+    small_batches(df.sparkSession)
+    return df.mapInArrow(run, schema)
 
 
 def text_of(column: str = "text") -> Column:

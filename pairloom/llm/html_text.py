@@ -23,6 +23,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import in_arrow
+
 #: Characters from which a block is decided on its own.
 LENGTH = 70
 #: Share of a block's characters in links from which it is a menu.
@@ -298,4 +300,4 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], [id_col, url_col, "text", "n_chars"])
 
     kinds = [pages.schema[c].dataType.simpleString() for c in (id_col, url_col)]
-    return pages.select(id_col, url_col, html_col).mapInArrow(run, f"`{id_col}` {kinds[0]}, `{url_col}` {kinds[1]}, text string, n_chars long")
+    return in_arrow(pages.select(id_col, url_col, html_col), run, f"`{id_col}` {kinds[0]}, `{url_col}` {kinds[1]}, text string, n_chars long")

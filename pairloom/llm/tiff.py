@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import written
+from .common import in_arrow, written
 
 WIDTH, STRIP_ROWS, PAGE_ROWS = 576, 64, 1024
 NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
@@ -332,7 +332,7 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, texts), pa.int64()), pa.array(media, pa.binary())], [id_col, "n_bytes", "media"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, media binary")
+    return in_arrow(docs.select(id_col, text_col), run, f"`{id_col}` {kind}, n_bytes long, media binary")
 
 
 def read_pages(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -353,7 +353,7 @@ def read_pages(media: DataFrame, id_col: str = "doc_id", media_col: str = "media
                     yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), *columns, pa.array([data], pa.binary()), pa.array([error], pa.string())], [id_col, *names, "data", "error"])
 
     schema = f"`{id_col}` {kind}, " + ", ".join(f"{n} int" for n in names) + ", data binary, error string"
-    return media.select(id_col, media_col).mapInArrow(run, schema)
+    return in_arrow(media.select(id_col, media_col), run, schema)
 
 
 def feature(counts: np.ndarray, pages: int, rows: int) -> str:
@@ -388,4 +388,4 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             if rows:
                 yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, zip(*rows, strict=True))], [id_col, *names])
 
-    return stored.mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return in_arrow(stored, run, f"`{id_col}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy
+from .common import in_arrow
 from .words import Spans, batched, mapping, windows
 
 #: Labelled rows that are learned from at most: those with the lowest hash of the id.
@@ -179,7 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         n, n1 = size["n"], size["n1"]
         p = n1 / max(1, n)
         z = F.abs(F.col("n1") - p * F.col("n")) / F.sqrt(F.col("n") * (p * (1 - p) + 1e-9))
-        counts = rows.mapInArrow(tidy(counted), "term int, n long, n1 long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
+        counts = in_arrow(rows, counted, "term int, n long, n1 long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
         chosen = counts.filter(F.col("n") >= LEAST_ROWS).withColumn("z", z).filter(F.col("z") >= SIGMAS)
         terms = np.array(sorted(r["term"] for r in chosen.orderBy(F.desc("z"), "term").limit(TERMS).collect()), np.int32)
         shared = spark.sparkContext.broadcast(terms)
@@ -190,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 ids = [among(t, own).tobytes() for t in text_terms(b.column(1).to_pylist(), bits)]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["y", "ids"])
 
-        own = rows.mapInArrow(tidy(found), "y int, ids binary").toArrow()
+        own = in_arrow(rows, found, "y int, ids binary").toArrow()
     finally:
         rows.unpersist()
     y = np.array(own["y"].to_pylist(), float) > 0
@@ -213,7 +213,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(tidy(run), f"`{id_col}` {kind}, held_out boolean, score double, predicted int")
+    return in_arrow(rows, run, f"`{id_col}` {kind}, held_out boolean, score double, predicted int")
 
 
 def clean(docs: DataFrame, machine: Machine, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -229,4 +229,4 @@ def clean(docs: DataFrame, machine: Machine, text_col: str = "text", threshold:
             keep = [own.score(t) < threshold for t in text_terms(texts, bits)]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(tidy(run), docs.schema)
+    return in_arrow(docs, run, docs.schema)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gathered, join_small, written
+from .common import in_arrow, join_small, written
 
 CHUNK_BYTES = 64 << 10
 LEAST = 1_000
@@ -138,7 +138,7 @@ class WarcReader:
 def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = LEAST, chunk_bytes: int = CHUNK_BYTES, limit: int | None = None) -> DataFrame:
     """Writes the pages as a chunked record table in the shared folder and returns it (CHUNK_SCHEMA)."""
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
-    own = gathered(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha1(payload).alias("sha1")))
+    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha1(payload).alias("sha1"))
     marks = own.select("id", "sha1", F.length("payload").alias("n")).filter(F.col("n") >= least)
     first = written(marks.groupBy("sha1").agg(F.max("id").alias("first"), F.count("*").alias("copies")).filter("copies > 1").drop("copies"), "first")
     joined = join_small(own, first, ["sha1"], "left", ["id", "url"], limit)
@@ -172,7 +172,7 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         if out:
             yield _chunks(out)
 
-    return written(rows.mapInArrow(run, CHUNK_SCHEMA), "archive")
+    return written(in_arrow(rows, run, CHUNK_SCHEMA), "archive")
 
 
 def _chunks(rows: list[tuple]) -> pa.RecordBatch:
@@ -219,8 +219,8 @@ def read_archive(chunks: DataFrame, id_col: str = "page_id", id_type: str = "big
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     schema = f"`{id_col}` {id_type}, {RECORD_SCHEMA.format(id=id_type)}"
-    alone = chunks.filter("chunk_no = 0 and last").mapInArrow(run, schema)
-    large = chunks.filter("not (chunk_no = 0 and last)").repartition("rec").sortWithinPartitions("rec", "chunk_no").mapInArrow(run, schema)
+    alone = in_arrow(chunks.filter("chunk_no = 0 and last"), run, schema)
+    large = in_arrow(chunks.filter("not (chunk_no = 0 and last)").repartition("rec").sortWithinPartitions("rec", "chunk_no"), run, schema)
     return alone.unionByName(large)
 
 
@@ -251,4 +251,4 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
                         number += 1
                         yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, schema)
+    return in_arrow(spark.read.format("binaryFile").load(path).select("path", "content"), run, schema)
