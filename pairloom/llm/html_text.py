@@ -1,12 +1,15 @@
 """Main text of web pages by two-pass block rules.
 
-The page is cut into blocks at block-level tags. Blocks in menus, footers, asides, forms and in containers
-whose role, or whose whole class or id, names one of these are set aside; those of a container that may hold the text all
-the same come back if they are more than the rest. Pass one decides each block left by its length, its share of
-link text and its density of stop words; short blocks, and long ones with few links and few stop words, stay
-open, and the long ones are text where no list of stop words fits the page. In pass two an open block takes the label of its
-nearest decided neighbours in the same region (an article, the main part, or the rest of the page); where these
-differ, or where the region has none, it is kept. An article hides what is outside if it holds at least as much text.
+The page is cut into blocks at block-level tags. Pass one decides a block by its share of link text, by evidence of
+its containers (menus, footers, asides, forms, roles, whole class or id names that tell of other matter, all of which
+count as one feature) or a copyright sign at the head of a line outside of articles, by its length and its density of stop words. Short blocks, and long ones with few links
+and few stop words, stay open; the long ones are text where no list of stop words fits the page. In pass two
+an open block takes the label of its nearest decided neighbours: those with which it shares the deeper container,
+and of two that share the same one, the nearer. Blocks decided by the evidence of containers alone are no neighbours,
+since they say nothing on what stands beside them; a block without neighbours in its region (an article, the
+main part, or the rest of the page) is kept. A container that may hold the text in spite of its name or kind is
+judged as any other if it holds more long text than all that is outside of such. An article hides what is outside if it holds at
+least as much text. Scripts, styles, buttons and hidden elements are markup, and give no blocks.
 
 Nulls and edges: a null or empty page has the text ""; broken markup, cut tags and unclosed elements are read as far
 as they go; pages of any length are read whole; null or repeated ids and addresses are kept as they are;
@@ -46,8 +49,13 @@ _BLOCKS = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _PLAIN = frozenset("abbr acronym b bdi bdo big cite code del dfn em font i ins kbd mark q s samp small strike strong sub sup time tt u var wbr".split())
-_RAW = frozenset("iframe math noembed noframes noscript object script select style svg template textarea title xmp".split())
-_ASIDE = frozenset("aside button dialog fieldset footer form head menu nav".split())
+#: Elements whose content is never text; where those of the second kind are not closed, only their tag is passed over.
+_RAW = frozenset("iframe noembed noframes script style textarea title xmp".split())
+_FOREIGN = frozenset("math noscript object select svg template".split())
+_UNSEEN = frozenset("button head".split())
+_ASIDE = frozenset("aside dialog footer menu nav".split())
+#: Elements that hold whole pages too.
+_PERHAPS = frozenset("fieldset form".split())
 _ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 #: Names of what is never the text of a page.
 _NEVER = frozenset(
@@ -80,7 +88,9 @@ class Block:
     links: int  # characters in links
     region: int  # 0 is the page itself
     heading: bool
-    named: int = 0  # 0 is outside of containers whose class or id names other matter
+    evidence: int = 0  # of containers: 1 that it may be other matter, 2 that it is
+    named: int = 0  # the outermost container with evidence 1; 0 is outside of all
+    dip: int = 0  # the fewest containers open since the block before
 
 
 def _names(value: str) -> int:
@@ -94,53 +104,59 @@ def _names(value: str) -> int:
     return most
 
 
-def _aside(tag: str, attributes: str, in_article: bool) -> int:
-    """Whether an element is set aside: 2 for good, by what it is, or by its class, id or role; 1 if it is only named so."""
-    if tag in _ASIDE or tag == "header" and not in_article:
-        return 2
+def _evidence(tag: str, attributes: str, in_article: bool) -> int:
+    """What an element, its role, or its whole class or id say: 3 not shown, 2 other matter, 1 perhaps, 0 nothing."""
+    if tag in _UNSEEN:
+        return 3
+    most = 2 if tag in _ASIDE or tag == "header" and not in_article else int(tag in _PERHAPS)
     if not attributes or tag in ("html", "body", "article", "main"):
-        return 0
-    most = 0
+        return most
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next(filter(None, values), "")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDDEN.search(value):
-            return 2
+            return 3
         if name == "role" and value.lower() in _ROLES:
-            return 2
+            most = 2
         if name == "class" or name == "id" and not _HEADING.fullmatch(tag):  # a heading's id tells what it is about
             most = max(most, _names(value))
     return most
 
 
 def blocks(page: str) -> list[Block]:
-    """The blocks of a page that are not set aside for good, in order."""
+    """The blocks of a page, in order, with what their containers say of them."""
     found: list[Block] = []
     text: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, int, int]] = []  # tag, set aside, region and named container outside
-    at, aside, region, regions, named, containers, link, heading = 0, 0, 0, 0, 0, 0, False, False
+    stack: list[tuple[str, bool, int, int, int]] = []  # tag, unseen; region, evidence and named container outside
+    at, unseen, region, regions, evidence, named, containers, heading, dip = 0, 0, 0, 0, 0, 0, 0, False, 0
+    link: int | None = None  # how many containers are open around the open link
 
     def flush() -> None:
-        nonlocal link
+        nonlocal dip
         if text:
             whole = " ".join(html.unescape("".join(text)).split())
             if whole:
-                found.append(Block(whole, len(" ".join(html.unescape(" ".join(linked)).split())) if linked else 0, region, heading, named))
+                found.append(Block(whole, len(" ".join(html.unescape(" ".join(linked)).split())) if linked else 0, region, heading, evidence, named, dip))
+                dip = len(stack)
             text.clear()
             linked.clear()
 
     def put(piece: str) -> None:
-        if piece and not aside:
+        if piece and not unseen:
             text.append(piece)
-            if link:
+            if link is not None:
                 linked.append(piece)
 
     def pop() -> None:
-        nonlocal aside, region, named
-        _, was_aside, was_region, was_named = stack.pop()
-        if named != was_named:
+        nonlocal unseen, region, evidence, named, dip, link
+        _, was_unseen, *was = stack.pop()
+        if [evidence, named] != was[1:]:
             flush()
-        aside, region, named = aside - was_aside, was_region, was_named
+        unseen -= was_unseen
+        region, evidence, named = was
+        dip = min(dip, len(stack))
+        if link is not None and len(stack) < link:
+            link = None
 
     n = len(page)
     while at < n:
@@ -158,17 +174,16 @@ def blocks(page: str) -> list[Block]:
         if m[2] is None:
             continue
         close, tag, attributes = bool(m[1]), m[2].lower(), m[3]
-        if not close and tag in _RAW:
-            if tag in ("noscript", "select", "svg", "math", "object", "template") or not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
+        if not close and (tag in _RAW and not attributes.endswith("/") or tag in _FOREIGN):
+            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
+            if end or tag in _RAW:
                 at = end.end() if end else n
             continue
         block = tag in _BLOCKS
         if block:
             flush()
-            link = False
         if tag == "a":
-            link = not close
+            link = len(stack) if not close and "href" in attributes.lower() else None
         if tag == "br":
             put(" ")
         if tag in _VOID or tag == "a":
@@ -187,20 +202,21 @@ def blocks(page: str) -> list[Block]:
             heading = tag[:1] == "h" and tag[1:].isdigit()
             if stack and stack[-1][0] == "p" or stack and tag in ("li", "dt", "dd", "tr", "td", "th", "option") and stack[-1][0] == tag:
                 pop()
-        in_article = region > 0
-        drop = _aside(tag, attributes, in_article)
-        if tag in _PLAIN and not drop:
+        says = _evidence(tag, attributes, region > 0)
+        if tag in _PLAIN and not says:
             continue
         if attributes.endswith("/") and not block:
             continue
         inline = tag in _PLAIN or tag in ("span", "label")
-        stack.append((tag, drop == 2 or drop == 1 and inline, region, named))
-        aside += stack[-1][1]
-        if drop == 1 and not inline and not named:
+        stack.append((tag, says == 3 or says > 0 and inline, region, evidence, named))
+        unseen += stack[-1][1]
+        if says and not stack[-1][1]:
             flush()
-            containers += 1
-            named = containers
-        if tag in ("article", "main") and not in_article:
+            if says == 1 and not evidence:
+                containers += 1
+                named = containers
+            evidence = max(evidence, says)
+        if tag in ("article", "main") and not region:
             regions += 1
             region = regions
     flush()
@@ -213,9 +229,17 @@ def density(text: str) -> float:
     return max(sum(map(s.__contains__, words)) for s in _STOPS.values()) / max(1, len(words))
 
 
+def _is_linked(b: Block) -> bool:
+    return b.links >= LINKS * len(b.text)
+
+
+def _is_other(b: Block) -> bool:
+    return _is_linked(b) or b.evidence > 0 or not b.region and b.text.startswith("©")
+
+
 def first_pass(b: Block) -> bool | None:
     """True for text, False for other matter, None for what is open."""
-    if b.links >= LINKS * len(b.text):
+    if _is_other(b):
         return False
     if len(b.text) < LENGTH:
         return None
@@ -226,7 +250,7 @@ def first_pass(b: Block) -> bool | None:
 
 def _open(found: list[Block], first: list[bool | None]) -> list[bool | None]:
     """Labels where long blocks of few links and stop words are open, or text if no list of stop words fits the page."""
-    long = [len(b.text) >= LENGTH and b.links < LINKS * len(b.text) for b in found]
+    long = [len(b.text) >= LENGTH and not _is_other(b) for b in found]
     if all(x is True for x, y in zip(first, long, strict=True) if y):
         return first
     texts = [b.text for b, y in zip(found, long, strict=True) if y]
@@ -234,53 +258,68 @@ def _open(found: list[Block], first: list[bool | None]) -> list[bool | None]:
     return [(None if fits else True) if y and x is not True else x for x, y in zip(first, long, strict=True)]
 
 
+def decided(found: list[Block]) -> list[bool | None]:
+    """Pass one for a whole page."""
+    return _open(found, [first_pass(b) for b in found])
+
+
+def _nearest(found: list[Block], first: list[bool | None], back: bool) -> list[tuple[bool, int, int] | None]:
+    """Label of the nearest decided block of the same region on one side, containers shared with it, and distance."""
+    out: list[tuple[bool, int, int] | None] = [None] * len(found)
+    deepest = 1 << 30
+    last: dict[bool, list] = {}  # within an article (which is one stretch), and outside: region, label, place, shared
+    order = range(len(found) - 1, -1, -1) if back else range(len(found))
+    for i in order:
+        b = found[i]
+        dip = found[i + 1].dip if back and i + 1 < len(found) else b.dip
+        for x in last.values():
+            x[3] = min(x[3], dip)
+        x = last.get(b.region > 0)
+        if x and x[0] == b.region:
+            out[i] = x[1], x[3], abs(i - x[2])
+        if first[i] is not None and not b.evidence:
+            last[b.region > 0] = [b.region, first[i], i, deepest]
+    return out
+
+
 def labels(found: list[Block]) -> list[bool]:
     """Both passes: whether each block is text."""
-    first = _open(found, [first_pass(b) for b in found])
-
-    def nearest(order: range) -> list[bool | None]:
-        """The label of the nearest decided block of the same region that comes earlier in ``order``."""
-        last: dict[int, bool] = {}
-        out: list[bool | None] = [None] * len(found)
-        for i in order:
-            out[i] = last.get(found[i].region)
-            if first[i] is not None:
-                last[found[i].region] = first[i]
-        return out
-
-    before, after = nearest(range(len(found))), nearest(range(len(found) - 1, -1, -1))
+    first = decided(found)
     out = []
-    for b, label, *near in zip(found, first, before, after, strict=True):
+    for b, label, before, after in zip(found, first, _nearest(found, first, False), _nearest(found, first, True), strict=True):
         if label is None:
-            known = [x for x in near if x is not None]
-            if b.heading and not b.region and near[1] is not None:
-                label = near[1]  # a heading goes with what follows it
+            if before is None or after is None or before[0] == after[0]:
+                label = (before or after or (True,))[0]
+            elif b.heading and not b.region and after[1] >= before[1]:
+                label = after[0]  # a heading goes with what follows it
+            elif before[1] != after[1]:
+                label = max(before, after, key=lambda x: x[1])[0]
+            elif b.region or before[2] == after[2]:
+                label = True
             else:
-                label = any(known) if known else True
+                label = min(before, after, key=lambda x: x[2])[0]
         out.append(label)
     return out
 
 
-def _size(found: list[Block], least: int = 0) -> int:
-    """Characters of the blocks that are text and have at least ``least``."""
-    return sum(len(b.text) for b, keep in zip(found, labels(found), strict=True) if keep and len(b.text) >= least)
-
-
-def _with_named(found: list[Block]) -> list[Block]:
-    """The blocks outside of named containers, and of such containers as hold more text than all of these."""
-    plain = [b for b in found if not b.named]
-    if len(plain) == len(found):
-        return found
-    rest, groups = _size(plain), {}
+def _come_back(found: list[Block]) -> None:
+    """Clears the evidence of containers that may be other matter, where they hold more long text than what is outside."""
+    rest, prose = 0, {}
+    for b in found:
+        if b.evidence < 2 and not _is_linked(b):
+            if b.evidence == 0:
+                rest += len(b.text)
+            elif len(b.text) >= LENGTH:
+                prose[b.named] = prose.get(b.named, 0) + len(b.text)
     for b in found:
-        groups.setdefault(b.named, []).append(b)
-    back = {k for k, group in groups.items() if not k or _size(group, LENGTH) > rest}
-    return [b for b in found if b.named in back]
+        if b.evidence == 1 and prose.get(b.named, 0) > rest:
+            b.evidence = 0
 
 
 def extract(page: str | None) -> str:
     """The main text: its blocks in order, one per line. An article that holds more than what is outside hides that."""
-    found = _with_named(blocks(page or ""))
+    found = blocks(page or "")
+    _come_back(found)
     kept = [b for b, keep in zip(found, labels(found), strict=True) if keep]
     sizes: dict[int, int] = {}
     for b in kept:
