@@ -1,9 +1,9 @@
 """Exact de-duplication with static binary-fuse filters per immutable snapshot.
 
 A snapshot (what the corpus holds already) is reduced once to one row per digest and to one
-binary-fuse filter per digest bucket (Graf and Lemire, "Binary Fuse Filters", 2022). A batch of
-incoming rows is grouped by digest on its own, its digests are screened by the filter of their
-bucket, and only the positives join the snapshot's exact buckets. Groups of more than one row are
+binary-fuse filter per digest bucket (Graf and Lemire, "Binary Fuse Filters", 2022), which are stored and
+serve all later batches. A batch of incoming rows is grouped by digest on its own, its digests stream past the filter
+of their bucket (in parts, where the batch is the larger), and only the positives join the snapshot's exact buckets. Groups of more than one row are
 checked byte by byte (least and greatest text of a digest are equal), and should two texts ever
 share a digest, their rows are grouped by the texts themselves.
 
@@ -16,13 +16,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_small, text_of, written
+from .common import in_arrow, join_small, small_batches, text_of, written
 
 #: Digests in one filter, on average.
 KEYS_PER_FILTER = 20_000
@@ -117,90 +118,119 @@ def build_filters(digests: DataFrame) -> DataFrame:
         data = BinaryFuse.build(_keys(rows["h64"])).to_bytes()
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "filter": pa.array([data], pa.binary())})
 
+    small_batches(digests.sparkSession)
     return digests.select("bucket", "h64").groupBy("bucket").applyInArrow(built, "bucket int, filter binary")
 
 
-def screen(digests: DataFrame, filters: DataFrame) -> DataFrame:
-    """``digests`` (digest, bucket, h64) that the filter of their bucket lets pass: possible members."""
+def screen(digests: DataFrame, filters: DataFrame, parts: int = 1) -> DataFrame:
+    """Of ``digests`` (digest, bucket, h64) the digests that the filter of their bucket lets pass: possible members.
 
-    def passed(key: tuple, rows: pa.Table, found: pa.Table) -> pa.Table:
-        if not len(found):
-            return rows.slice(0, 0)
-        ok = BinaryFuse.from_bytes(found["filter"][0].as_py()).contains(_keys(rows["h64"]))
-        return rows.filter(pa.array(ok))
+    The digests of a bucket are dealt into ``parts``; to each goes a copy of the filter, past which they stream.
+    """
 
-    own = digests.select("digest", "bucket", "h64")
-    return own.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInArrow(passed, "digest string, bucket int, h64 long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own = None, None
+        for b in batches:
+            where, keys = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)), b.column(3).fill_null(0).to_numpy().view(np.uint64)
+            ok = np.zeros(b.num_rows, bool)
+            first = 0
+            for i in [k for k in range(b.num_rows) if b.column(4)[k].is_valid] + [b.num_rows]:
+                _passed(ok, keys, where, first, i, at, own)
+                if i < b.num_rows:
+                    at, own, first = where[i], BinaryFuse.from_bytes(b.column(4)[i].as_py()), i + 1
+            yield pa.RecordBatch.from_arrays([b.column(2)], ["digest"]).filter(pa.array(ok))
 
+    own = digests.select("bucket", F.pmod(F.hash("digest", F.lit("part")), F.lit(parts)).alias("part"), "digest", "h64", F.lit(None).cast("binary").alias("filter"))
+    copies = filters.select("bucket", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("h64"), "filter")
+    rows = copies.unionByName(own).repartition("bucket", "part").sortWithinPartitions("bucket", "part", F.col("digest").asc_nulls_first())
+    return in_arrow(rows, run, "digest string")
 
-def exact_dedup(
-    docs: DataFrame,
-    in_snapshot: Column,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    digest: Callable[[Column], Column] = lambda text: F.sha2(text, 256),
-    limit: int | None = None,
-) -> DataFrame:
-    """Groups equal texts of snapshot and incoming rows; the row with the largest id of a group stays.
 
-    Returns one row per input row: id_col, keep_id, group_size long, kept boolean, text_sha256,
-    screened boolean (an incoming row whose digest the filters let pass). ``in_snapshot`` says which
-    rows are the snapshot. ``digest`` is replaced only by tests, to make collisions.
-    """
+def _passed(ok: np.ndarray, keys: np.ndarray, where: list[tuple], first: int, end: int, at: tuple | None, own: BinaryFuse | None) -> None:
+    """Marks the keys from ``first`` to ``end`` that the filter of the place ``at`` holds; those of other places have no filter."""
+    while end > first and where[end - 1] != at:
+        end -= 1
+    if own is not None and end > first:
+        ok[first:end] = own.contains(keys[first:end])
+
+
+@dataclass
+class Snapshot:
+    """What is stored of a snapshot: (digest, top, n, h64) per digest, and (bucket, filter) with ``buckets`` buckets."""
+
+    digests: DataFrame
+    filters: DataFrame
+    buckets: int
+
+
+def _numbered(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column], row: Column, *more: Column) -> DataFrame:
     text = text_of(text_col)
-    rows = written(
-        docs.select(
-            F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), digest(text).alias("digest"),
-            F.sha2(text, 256).alias("text_sha256"), F.coalesce(in_snapshot, F.lit(False)).alias("old"),
-        ),
-        "digests",
-    )
-
-    def grouped(part: DataFrame) -> DataFrame:
-        return part.groupBy("digest").agg(F.max(F.struct("id", "row")).alias("top"), F.count("*").alias("n"))
-
-    old, new = grouped(rows.filter("old")), grouped(rows.filter("not old"))
-    old = written(old.withColumn("h64", F.xxhash64("digest")), "snapshot")
-    new = written(new.withColumn("h64", F.xxhash64("digest")), "batch")
-    buckets = 1 << max(0, math.ceil(math.log2(max(1, old.count()) / KEYS_PER_FILTER)))
-    bucket = F.pmod(F.hash("digest"), F.lit(buckets)).alias("bucket")
-    filters = written(build_filters(old.select("digest", bucket, "h64")), "filters")
-    passed = screen(new.select("digest", bucket, "h64"), filters)
-    # positives meet the exact buckets; all other batch groups are new, and grouped on their own
-    met = passed.select("digest", F.lit(True).alias("screened"))
-    tops = (
-        new.select("digest", F.col("top").alias("new_top"), F.col("n").alias("new_n"))
-        .join(met, "digest", "left")
-        .withColumn("ask", F.when(F.col("screened"), F.col("digest")))
-    )
-    held = old.select(F.col("digest").alias("ask"), F.col("top").alias("old_top"), F.col("n").alias("old_n"))
-    joined = written(
-        tops.filter("screened").join(held, "ask", "left").select("digest", "new_top", "new_n", "old_top", "old_n")
-        .unionByName(tops.filter("screened is null").select("digest", "new_top", "new_n"), allowMissingColumns=True), "met",
-    )
-    both = joined.filter("old_n is not null")
-    alone = old.join(both.select("digest"), "digest", "left_anti").select("digest", "top", "n")
-    groups = (
-        joined.select("digest", F.greatest("new_top", "old_top").alias("top"), (F.col("new_n") + F.coalesce("old_n", F.lit(0))).alias("n"))
-        .unionByName(alone)
-        .filter("n > 1")
-    )
-    groups = written(groups, "groups")
+    return docs.select(F.col(id_col).alias("id"), row.alias("row"), digest(text).alias("digest"), F.sha2(text, 256).alias("text_sha256"), *more)
+
+
+def _grouped(part: DataFrame) -> DataFrame:
+    return part.groupBy("digest").agg(F.max(F.struct("id", "row")).alias("top"), F.count("*").alias("n")).withColumn("h64", F.xxhash64("digest"))
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.hash("digest"), F.lit(buckets)).alias("bucket")
+
+
+def _sha256(text: Column) -> Column:
+    return F.sha2(text, 256)
+
+
+def _stored(df: DataFrame, path: str | None, name: str) -> DataFrame:
+    if path is None:
+        return written(df, name)
+    df.write.parquet(f"{path}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}")
+
+
+def _reduced(rows: DataFrame, path: str | None = None) -> Snapshot:
+    digests = _stored(_grouped(rows), path, "digests")
+    buckets = 1 << max(0, math.ceil(math.log2(max(1, digests.count()) / KEYS_PER_FILTER)))
+    filters = build_filters(digests.select("digest", _bucket(buckets), "h64")).withColumn("buckets", F.lit(buckets))
+    return Snapshot(digests, _stored(filters, path, "filters"), buckets)
+
+
+def take_snapshot(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = _sha256) -> Snapshot:
+    """Stores the digests and filters of ``docs`` under ``path``, once and for all batches to come."""
+    return _reduced(_numbered(docs, id_col, text_col, digest, F.monotonically_increasing_id()), path)
+
+
+def open_snapshot(spark: SparkSession, path: str) -> Snapshot:
+    digests, filters = spark.read.parquet(f"{path}/digests"), spark.read.parquet(f"{path}/filters")
+    return Snapshot(digests, filters, filters.agg(F.coalesce(F.max("buckets"), F.lit(1))).first()[0])
+
+
+def _meeting(new: DataFrame, held: Snapshot) -> DataFrame:
+    """Groups of the batch (written: digest, top, n, h64) with old_top, old_n of the snapshot's group of that digest, if there is one."""
+    parts = max(1, math.ceil(new.count() / (held.buckets * KEYS_PER_FILTER)))
+    passed = screen(new.select("digest", _bucket(held.buckets), "h64"), held.filters, parts).withColumn("screened", F.lit(True))
+    tops = new.select("digest", F.col("top").alias("new_top"), F.col("n").alias("new_n")).join(passed, "digest", "left")
+    tops = written(tops, "screened")
+    # positives meet the exact buckets; all other batch groups are new
+    exact = held.digests.select("digest", F.col("top").alias("old_top"), F.col("n").alias("old_n"))
+    met = tops.filter("screened").join(exact, "digest", "left").drop("screened")
+    return written(met.unionByName(tops.filter("screened is null").drop("screened"), allowMissingColumns=True), "met")
+
+
+def _checked(rows: DataFrame, texts: DataFrame, groups: DataFrame, id_col: str, limit: int | None) -> DataFrame:
+    """One row per row of ``rows``, by its group (digest, top, n), which is checked byte by byte over ``texts`` (id, row, text, digest, mine)."""
+    groups = written(groups.filter("n > 1"), "groups")
     # byte check of every group: its least and greatest text are the same
-    texts = docs.select(digest(text).alias("digest"), text.alias("text"))
-    ends = join_small(texts, groups.select("digest"), ["digest"], "left_semi", ["text"], limit)
+    ends = join_small(texts.select("digest", "text"), groups.select("digest"), ["digest"], "left_semi", ["text"], limit)
     ends = ends.groupBy("digest").agg((F.min("text") != F.max("text")).alias("mixed"))
     mixed = written(ends.filter("mixed").select("digest"), "collisions")
     clashes = mixed.count() > 0
     if clashes:
         groups = groups.join(mixed, "digest", "left_anti")
-    out = join_small(rows.drop("screened"), groups, ["digest"], "left", ["id", "row"], limit)
-    out = out.select("id", "row", "digest", "text_sha256", "top", "n")
+    out = join_small(rows, groups, ["digest"], "left", ["id", "row"], limit).select("id", "row", "digest", "text_sha256", "top", "n")
     if clashes:  # two texts share a digest: their rows are grouped by the text itself
-        split = docs.select(F.col(id_col).alias("id"), text.alias("text"), digest(text).alias("digest"), F.sha2(text, 256).alias("text_sha256"))
-        split = written(split.join(mixed, "digest", "left_semi").withColumn("row", F.monotonically_increasing_id()), "split")
+        split = written(texts.join(mixed, "digest", "left_semi"), "split")
         own = split.groupBy("text").agg(F.max(F.struct("id", "row")).alias("top"), F.count("*").alias("n"))
-        split = split.join(own, "text").select("id", "row", "digest", "text_sha256", "top", "n")
+        split = split.filter("mine").join(own, "text").select("id", "row", "digest", F.sha2("text", 256).alias("text_sha256"), "top", "n")
         out = out.join(mixed, "digest", "left_anti").unionByName(split)
     return out.select(
         F.col("id").alias(id_col),
@@ -211,6 +241,47 @@ def exact_dedup(
     )
 
 
+def _joint(joined: DataFrame) -> DataFrame:
+    """Groups over batch and snapshot."""
+    return joined.select("digest", F.greatest("new_top", "old_top").alias("top"), (F.col("new_n") + F.coalesce("old_n", F.lit(0))).alias("n"))
+
+
+def dedup_batch(
+    batch: DataFrame, held: Snapshot, held_docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = _sha256, limit: int | None = None
+) -> DataFrame:
+    """One row per row of ``batch``, as of ``exact_dedup``, over the batch and a stored snapshot.
+
+    The row with the largest id of a group stays, be it in the batch or in the snapshot (there, if both have that id).
+    ``held_docs`` are the snapshot's documents; they are read for the byte check only.
+    """
+    rows = written(_numbered(batch, id_col, text_col, digest, -1 - F.monotonically_increasing_id()), "digests")
+    joined = _meeting(written(_grouped(rows), "batch"), held)
+
+    def texts(docs: DataFrame, row: Column, mine: bool) -> DataFrame:
+        text = text_of(text_col)
+        return docs.select(F.col(id_col).alias("id"), row.alias("row"), text.alias("text"), digest(text).alias("digest"), F.lit(mine).alias("mine"))
+
+    both = texts(batch, -1 - F.monotonically_increasing_id(), True).unionByName(texts(held_docs, F.monotonically_increasing_id(), False))
+    return _checked(rows, both, _joint(joined), id_col, limit)
+
+
+def exact_dedup(
+    docs: DataFrame, in_snapshot: Column, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = _sha256, limit: int | None = None
+) -> DataFrame:
+    """Groups equal texts of snapshot and incoming rows; the row with the largest id of a group stays.
+
+    Returns one row per input row: id_col, keep_id, group_size long, kept boolean, text_sha256. ``in_snapshot`` says which
+    rows are the snapshot. ``digest`` is replaced only by tests, to make collisions.
+    """
+    rows = written(_numbered(docs, id_col, text_col, digest, F.monotonically_increasing_id(), F.coalesce(in_snapshot, F.lit(False)).alias("old")), "digests")
+    held = _reduced(rows.filter("old"))
+    joined = _meeting(written(_grouped(rows.filter("not old")), "batch"), held)
+    alone = held.digests.join(joined.filter("old_n is not null").select("digest"), "digest", "left_anti").select("digest", "top", "n")
+    text = text_of(text_col)
+    texts = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), text.alias("text"), digest(text).alias("digest"), F.lit(True).alias("mine"))
+    return _checked(rows, texts, _joint(joined).unionByName(alone), id_col, limit)
+
+
 def half(id_col: str = "doc_id") -> Column:
     """The snapshot of the query: the half of the ids with an even hash, as if ingested before."""
     return F.pmod(F.xxhash64(id_col), F.lit(2)) == 0

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.llm.exact_dedup import BinaryFuse, drop_copies, exact_dedup, half
+from pairloom.llm.exact_dedup import BinaryFuse, build_filters, dedup_batch, drop_copies, exact_dedup, half, open_snapshot, screen, take_snapshot
 
 SCHEMA = "doc_id long, text string, digest string, n string"
 
@@ -82,3 +82,41 @@ def test_filter_has_no_false_negatives():
         assert f.contains(others).mean() < 0.01
         if n > 1000:
             assert len(f.table) < 1.3 * n
+
+
+@pytest.mark.parametrize("digest", ["sha", "weak"])
+@pytest.mark.parametrize("n", [0, 120])
+def test_a_stored_snapshot_serves_later_batches(spark, tmp_path, digest, n):
+    hashes = {"sha": lambda t: F.sha2(t, 256), "weak": lambda t: F.concat(F.lit("w"), F.length(t) % 3)}
+    held = [(1000 + i if i is not None and i % 2 else i, *x) for i, *x in rows(2, n)] if n else []
+    docs = spark.createDataFrame(held, SCHEMA)
+    take_snapshot(docs, str(tmp_path / "s"), digest=hashes[digest])
+    for seed in (7, 8):
+        data = rows(seed)
+        batch = spark.createDataFrame(data, SCHEMA)
+        got = dedup_batch(batch, open_snapshot(spark, str(tmp_path / "s")), docs, digest=hashes[digest]).collect()
+        new, old = brute(data), brute(held)
+        sha = {hashlib.sha256(t.encode()).hexdigest(): t for t in new}
+        assert len(got) == len(data)
+        kept = defaultdict(int)
+        for r in got:
+            t = sha[r.text_sha256]
+            best = max((i for i in [*new[t], *old.get(t, [])] if i is not None), default=None)
+            assert (r.keep_id, r.group_size) == (best, len(new[t]) + len(old.get(t, []))) and r.doc_id in new[t]
+            kept[t] += r.kept
+        for t, ids in new.items():
+            lowest = -1
+            best_new, best_old = (max((lowest if i is None else i for i in x), default=None) for x in (ids, old.get(t, [])))
+            assert kept[t] == (best_old is None or best_new > best_old), t
+
+
+def test_small_filters_screen_large_batches_in_parts(spark):
+    keys = spark.range(300).select(F.sha2(F.col("id").cast("string"), 256).alias("digest"))
+    keyed = keys.select("digest", F.lit(0).alias("bucket"), F.xxhash64("digest").alias("h64"))
+    filters = build_filters(keyed.limit(40))
+    known = {r.digest for r in keyed.limit(40).collect()}
+    for parts in (1, 7):
+        got = [r.digest for r in screen(keyed, filters, parts).collect()]
+        assert known <= set(got) and len(got) == len(set(got)) < 60
+        assert screen(keyed, filters.limit(0), parts).collect() == []
+        assert screen(keyed.withColumn("bucket", F.lit(1)), filters, parts).collect() == []
