@@ -2,11 +2,12 @@
 
 Texts are cut into chunks where a rolling (gear) hash of the last 16 bytes has its low bits zero, so that
 passages which documents share give the same chunks wherever they stand. A chunk is encoded once per worker
-and kept in a bounded cache. A cut may fall anywhere, even within a character, so the joins are repaired:
-an anchor is a space between two visible ASCII characters, and a pre-token begins there whatever the
-context. A chunk keeps the tokens between its first and last anchor; what lies between the last anchor
-before a join and the first one after it is encoded again, over further chunks where one has no
-anchor, so that tokens on both sides agree exactly with an encoding of the whole text.
+and kept in a bounded cache. A cut may fall anywhere, even within a character, so the joins are repaired. A boundary
+is a place where a pre-token begins in any context, whatever the script: before white space that follows something
+visible, and between letters, digits and other signs (but not behind an apostrophe, which may begin a contraction).
+A chunk keeps the tokens between its first and last boundary; what lies between the last boundary before a join
+and the first one after it is encoded again, over further chunks where one has no boundary, so that the tokens on
+both sides agree exactly with an encoding of the whole text.
 
 The cache is per worker, not a table that all workers read: to share chunks across machines, their
 texts and their tokens would cross the network, which is more than encoding them anew costs.
@@ -21,6 +22,8 @@ import base64
 import functools
 import hashlib
 import json
+import re
+import unicodedata
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
@@ -37,16 +40,64 @@ CHUNK_BITS, MOST = 10, 16_384
 #: Bytes that a worker's cache takes: chunks, their tokens, and ENTRY for the objects around each.
 CACHE_BYTES, ENTRY = 16 << 20, 400
 _GEAR = np.frombuffer(hashlib.shake_128(b"gear").digest(1024), "<u4")
-_VISIBLE = np.zeros(256, bool)
-_VISIBLE[0x21:0x7F] = True
-
-
-def anchors(data: np.ndarray) -> np.ndarray:
-    """Where a space stands between visible ASCII characters: a pre-token begins there in any context."""
-    if len(data) < 3:
-        return np.empty(0, np.int64)
-    visible = _VISIBLE[data]
-    return np.flatnonzero((data[1:-1] == 0x20) & visible[:-2] & visible[2:]) + 1
+#: White space of the pattern, by Unicode's property.
+_SPACES = frozenset("\t\n\v\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+#: What libraries do not agree on whether it is white space.
+_DOUBTFUL = frozenset("\x1c\x1d\x1e\x1f\u0085\u180e\u200b\ufeff")
+
+
+@functools.lru_cache(maxsize=1 << 16)
+def kind(c: str) -> str:
+    """Class of a character in the pattern: L, N, S (space), ' or P (others); "" where versions of Unicode may differ."""
+    if c == "'" or c in _SPACES:
+        return "'" if c == "'" else "S"
+    now, then = unicodedata.category(c), unicodedata.ucd_3_2_0.category(c)
+    if c in _DOUBTFUL or "Cn" in (now, then) or now[0] != then[0]:
+        return ""
+    return now[0] if now[0] in "LN" else "P"
+
+
+def certain(a: str, b: str) -> bool:
+    """Whether a pre-token begins between these characters in any context."""
+    x, y = kind(a), kind(b)
+    return bool(x and y) and x != y and x != "S" and not (x == "'" and y in "LP" or y == "'" and x == "P")
+
+
+def _start(data: bytes, at: int) -> int:
+    """Where the character that holds byte ``at`` begins."""
+    while 0 < at < len(data) and data[at] & 0xC0 == 0x80:
+        at -= 1
+    return at
+
+
+def boundary(data: bytes, at: int, ahead: bool = True, apart: frozenset[str] = frozenset()) -> int:
+    """The first boundary at ``at`` or after it (or the last before or at it); -1 if there is none.
+
+    ``data`` may begin and end within a character. No boundary is seen between two characters of ``apart``.
+    """
+    low = 0
+    while low < min(3, len(data)) and data[low] & 0xC0 == 0x80:
+        low += 1  # a character that is cut off
+    size = 64
+    start, end = (max(low, _start(data, at - 1)), 0) if ahead else (0, min(len(data), at + 4))
+    while True:
+        if ahead:
+            end = _start(data, start + size)
+        else:
+            start = max(low, _start(data, end - size))
+        text = data[start:end].decode("utf-8", "ignore")
+        for j in range(1, len(text)) if ahead else range(len(text) - 1, 0, -1):
+            if certain(text[j - 1], text[j]) and text[j - 1 : j + 1] not in apart:
+                place = start + len(text[:j].encode())
+                if place >= at if ahead else place <= at:
+                    return place
+        if ahead and end >= len(data) or not ahead and start <= low:
+            return -1
+        if ahead:
+            start = _start(data, end - 1)
+        else:
+            end = _start(data, start + 4)  # a character and more in both
+        size *= 2
 
 
 def cuts(data: np.ndarray, bits: int = CHUNK_BITS, most: int = MOST) -> list[int]:
@@ -84,6 +135,8 @@ class Codec:
         self.plain = tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.cache: OrderedDict[bytes, tuple[int, int, np.ndarray]] = OrderedDict()
         self.room, self.held, self.bits = cache_bytes, 0, bits
+        self.apart = frozenset(x["content"][i : i + 2] for x in spec["added_tokens"] for i in range(len(x["content"]) - 1))
+        self.found = re.compile(b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or b"(?!)")
         self.reused = self.encoded = 0
 
     def direct(self, data: bytes) -> np.ndarray:
@@ -91,15 +144,15 @@ class Codec:
         return self.plain.encode_to_numpy(data.decode("utf-8"), disallowed_special=()) if data else np.empty(0, np.uint32)
 
     def chunk(self, data: bytes) -> tuple[int, int, np.ndarray]:
-        """First anchor, last anchor, and the tokens between; (-1, -1, none) without anchors."""
+        """First boundary, last boundary, and the tokens between; (-1, -1, none) without boundaries."""
         found = self.cache.get(data)
         if found is not None:
             self.reused += len(data)
             self.cache.move_to_end(data)
             return found
-        at = anchors(np.frombuffer(data, np.uint8))
-        first, last = (int(at[0]), int(at[-1])) if len(at) else (-1, -1)
-        found = (first, last, self.direct(data[first:last]) if len(at) else np.empty(0, np.uint32))
+        first = boundary(data, 1)
+        last = boundary(data, len(data) - 1, ahead=False) if first > 0 else -1
+        found = (first, last, self.direct(data[first:last]) if first > 0 else np.empty(0, np.uint32))
         self.encoded += max(0, last - first)
         self.cache[data] = found
         self.held += self._size(data, found[2])
@@ -113,30 +166,32 @@ class Codec:
         return len(data) + ids.nbytes + ENTRY
 
     def segment(self, data: bytes) -> list[np.ndarray]:
-        out, seam, start = [], b"", 0
-        for end in cuts(np.frombuffer(data, np.uint8), self.bits) if len(data) >= 2 << self.bits else [len(data)]:  # a short text is one chunk
+        """Tokens of bytes that hold no special token."""
+        out, seam, start = [], [], 0
+        for end in cuts(np.frombuffer(data, np.uint8), self.bits):
             piece, start = data[start:end], end
             first, last, ids = self.chunk(piece)
             if first < 0:
-                seam += piece  # no place to agree on: the seam goes on
+                seam.append(piece)  # no place to agree on: the seam goes on
                 continue
-            out += [self.direct(seam + piece[:first]), ids]
-            self.encoded += len(seam) + first
-            seam = piece[last:]
-        return [*out, self.direct(seam)]
+            join = b"".join([*seam, piece[:first]])
+            out += [self.direct(join), ids]
+            self.encoded += len(join)
+            seam = [piece[last:]]
+        join = b"".join(seam)
+        self.encoded += len(join)
+        return [*out, self.direct(join)]
 
     def parts(self, data: bytes) -> Iterator[bytes | int]:
-        """``data`` cut at special tokens (leftmost first), which come as their ids."""
-        while data:
-            hits = [(i, -len(s), s) for s in self.special if (i := data.find(s)) >= 0]
-            if not hits:
-                yield data
-                return
-            i, _, s = min(hits)
-            if i:
-                yield data[:i]
-            yield self.special[s]
-            data = data[i + len(s) :]
+        """``data`` cut at special tokens (leftmost first, then longest), which come as their ids."""
+        at = 0
+        for m in self.found.finditer(data):
+            if m.start() > at:
+                yield data[at : m.start()]
+            yield self.special[m[0]]
+            at = m.end()
+        if at < len(data):
+            yield data[at:]
 
     def encode(self, data: bytes) -> np.ndarray:
         out: list[np.ndarray] = []
@@ -153,11 +208,14 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+_KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
+
+
 def _mapped(docs: DataFrame, columns: list[str], schema: str, row: Callable[[Codec, list], tuple], path: str | None) -> DataFrame:
     """Applies ``row`` to the values of ``columns``, batch by batch; ``columns[0]`` is handed on as it is."""
     path = path or tokenizer_path()
     kind = docs.schema[columns[0]].dataType.simpleString()
-    names = [x.split()[0] for x in schema.split(", ")]
+    names, kinds = zip(*((name, _KINDS[kind]) for name, kind in map(str.split, schema.split(", "))), strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
@@ -166,7 +224,7 @@ def _mapped(docs: DataFrame, columns: list[str], schema: str, row: Callable[[Cod
                 part = b.slice(at, 512)
                 rows = [row(own, x) for x in zip(*(part.column(i) for i in range(1, len(columns))), strict=True)]
                 columns_out = zip(*rows, strict=True) if rows else [[] for _ in names]
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(list(c)) for c in columns_out)], [columns[0], *names])
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(list(c), k) for c, k in zip(columns_out, kinds, strict=True))], [columns[0], *names])
 
     return in_arrow(docs.select(columns), run, f"`{columns[0]}` {kind}, {schema}")
 

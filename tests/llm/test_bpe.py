@@ -6,9 +6,9 @@ import random
 import numpy as np
 import pytest
 
-from pairloom.llm.bpe import Codec, anchors, cuts, decode, encode, round_trip
+from pairloom.llm.bpe import Codec, boundary, cuts, decode, encode, round_trip
 from pairloom.llm.common import tokenizer_path
-from pairloom.llm.token_counts import TokenTree, count_with_edits, edited, standing_edits
+from pairloom.llm.token_counts import TokenTree, apply_edits, build_trees, count_with_edits, edited, standing_edits
 
 tokenizers = pytest.importorskip("tokenizers")
 TEXTS = [
@@ -52,7 +52,6 @@ def test_cuts_are_whole_and_follow_content():
     assert ends[-1] == len(data) and all(0 < b - a <= 2000 for a, b in zip([0, *ends], ends))
     moved = cuts(np.concatenate([data[:100], data]), 8, 2000)
     assert len({len(data) - e for e in ends} & {len(data) + 100 - e for e in moved}) > 0.8 * len(ends)
-    assert anchors(np.frombuffer(b"a b  c d", np.uint8)).tolist() == [1, 6]
 
 
 def test_operators(spark, library):
@@ -108,3 +107,66 @@ def test_short_texts_are_reused():
     before = codec.reused
     assert np.array_equal(codec.encode(text), want)
     assert codec.reused - before == len(text)
+
+
+def test_boundaries_hold_in_any_context(library):
+    """Encoding both sides of a boundary apart gives what encoding them together does; they are found in any script."""
+    codec = Codec(tokenizer_path())
+    r = random.Random(9)
+    signs = "ab' 1.\u00a0\u3000。，漢é\u0301\u200b\x1c\x85½Ⅷ٣\n\t!’🙂"
+    for _ in range(300):
+        s = "".join(r.choice(signs) for _ in range(r.randint(1, 30)))
+        data, at = s.encode(), 1
+        seen = []
+        while (k := boundary(data, at)) > 0:
+            assert library(s) == library(data[:k].decode()) + library(data[k:].decode())
+            seen.append(k)
+            at = k + 1
+        back, at = [], len(data) - 1
+        while at > 0 and (k := boundary(data, at, ahead=False)) > 0:
+            back.append(k)
+            at = k - 1
+        assert back[::-1] == seen
+    chinese = "".join(r.choice("这是一个段落没有空格文本里的许多汉字") if r.random() < 0.9 else r.choice("，。") for _ in range(8000))
+    assert codec.encode(chinese.encode()).tolist() == library(chinese)
+    codec.encode(("前" + chinese).encode())
+    assert codec.reused > 0.7 * len(chinese.encode())
+    assert boundary(b"x" * 5000, 1) == boundary("é".encode()[1:], 1) == -1
+    tree = TokenTree(codec, chinese.encode())
+    assert len(tree.runs) > 40
+    tree.encoded = 0
+    tree.edit(6000, 3, "新".encode())
+    assert 0 < tree.encoded < 2000
+
+
+def test_seams_without_boundaries_are_linear():
+    codec = Codec(tokenizer_path(), bits=6)
+    data = b"xyz" * 300_000
+    assert np.array_equal(codec.encode(data), codec.direct(data))
+
+
+def test_stored_trees_take_edits(spark, library):
+    """Edits of stored trees encode what they touch, give the right counts and texts, and further edits can follow."""
+    r = random.Random(11)
+    texts = {i: noise(r) * r.randint(1, 30) for i in range(20)} | {20: "some words of a long text " * 4000}
+    docs = spark.createDataFrame([(i, t, "x") for i, t in texts.items()] + [(3, "another text of the id", "x"), (None, "no id", "x"), (3, texts[3], "x"), (50, None, "x")], "doc_id long, text string, n_tokens string")
+    trees = build_trees(docs)
+    assert {x.text_key: x.n_tokens for x in trees.collect() if x.doc_id == 20}.popitem()[1] == len(library(texts[20]))
+    for limit in (None, 0):
+        now, state = docs, trees
+        want = {k: [texts.get(k) or ""] for k in (2, 20, 50)} | {3: [texts[3], texts[3], "another text of the id"]}
+        for turn in range(2):
+            edits = [(i, s, r.randint(0, 2000), r.randint(0, 9), r.choice(["new ", "é", "", "<|endoftext|>"]).encode()) for i in want for s in range(3)] + [(None, 0, 0, 1, b""), (77, 0, 0, 1, b"")]
+            if turn:
+                edits = edits[2:] + edits[:2]
+            got = apply_edits(now, state, spark.createDataFrame(edits, "doc_id long, seq long, at long, delete long, insert binary"), limit=limit).collect()
+            for i, old in want.items():
+                for e in sorted(x[1:] for x in edits if x[0] == i):
+                    old = [edited(t.encode(), *e[1:]).decode() for t in old]
+                want[i] = old
+            assert sorted((x.doc_id, x.text, x.n_tokens) for x in got) == sorted((i, t, len(library(t))) for i, ts in want.items() for t in ts)
+            assert all(sum(x.sizes) == len(x.text.encode()) and sum(x.counts) == x.n_tokens for x in got)
+            assert max(x.reencoded_bytes for x in got if x.doc_id == 20) < 4000
+            now = spark.createDataFrame([(x.doc_id, x.text) for x in got], "doc_id long, text string")
+            state = build_trees(now)
+    assert apply_edits(docs, trees, spark.createDataFrame([], "doc_id long, seq long, at long, delete long, insert binary")).collect() == []
