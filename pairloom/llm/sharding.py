@@ -3,11 +3,12 @@
 The items are groups of equal texts with the vector (bytes, tokens, rows). Each group goes where the
 dot product of its vector with the shards' residual capacity is highest. Groups of at least 1/64 of a
 shard in any dimension are few by arithmetic (at most 3 * 64 * shards); the driver places them first,
-largest first, and cuts those over a whole shard into pieces (over half a shard, where more than half as many
-groups as shards are so large, which could not be packed evenly). All others are dealt by hash into cells of
+largest first. Only a group over a whole shard, which fits in none, is cut into pieces. All others are dealt by hash into cells of
 about 4,000 groups; each cell is packed on its own, against its share of what the large groups leave, so
 no task and no driver holds more than a cell.
 
+Groups are told by the SHA-256 of their text.
+
 Nulls and edges: a null text has no bytes (size 8) and is grouped with the empty text; null or repeated
 ids are placed like any others; empty tables give empty results; extra columns are ignored.
 """
@@ -25,8 +26,7 @@ from .common import WORD, text_of, written
 
 #: A group with at least this part of a shard, in any dimension, is placed by the driver.
 HEAVY = 1 / 64
-#: A group over the first part of a shard is cut into pieces; over the second, if there are many such groups.
-WHOLE, HALF = 1.0, 1 / 2
+#: Pieces into which a group over a whole shard is cut.
 PIECES = 256
 GROUPS_PER_CELL = 4_000
 ROWS_PER_SLOT_CELL = 40_000
@@ -56,7 +56,8 @@ def shard(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col:
     rows = written(
         docs.select(
             F.col(id_col).alias("id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("tokens"),
-            F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("key"), F.pmod(F.xxhash64(id_col), F.lit(PIECES)).cast("int").alias("piece"),
+            F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("key"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "rows",
     )
@@ -65,18 +66,18 @@ def shard(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col:
     total = groups.agg(*(F.sum(x).alias(x) for x in DIMENSIONS), F.count("*").alias("n")).first()
     whole = np.array([max(1, total[x] or 0) for x in DIMENSIONS], float)
     part = F.greatest(*(F.col(x) * float(n_shards / w) for x, w in zip(DIMENSIONS, whole, strict=True)))
+    piece = F.pmod(F.xxhash64("id", F.when(F.col("id").isNull(), F.col("row"))), F.lit(PIECES)).cast("int").alias("piece")
     heavy = [r for r in groups.filter(part >= HEAVY).withColumn("part", part).collect()]
-    most = WHOLE if sum(r["part"] > HALF for r in heavy) <= n_shards / 2 else HALF
-    split = [r["key"] for r in heavy if r["part"] > most]
-    items = [(r["key"], -1, [r[x] for x in DIMENSIONS]) for r in heavy if r["part"] <= most]
+    split = [bytes(r["key"]) for r in heavy if r["part"] > 1]  # fewer than 3 * shards
+    items = [(bytes(r["key"]), -1, [r[x] for x in DIMENSIONS]) for r in heavy if r["part"] <= 1]
     if split:
-        pieces = rows.filter(F.col("key").isin(split)).groupBy("key", "piece").agg(*sums).collect()
-        items += [(r["key"], r["piece"], [r[x] for x in DIMENSIONS]) for r in pieces]
+        pieces = rows.filter(F.col("key").isin(split)).groupBy("key", piece).agg(*sums).collect()
+        items += [(bytes(r["key"]), r["piece"], [r[x] for x in DIMENSIONS]) for r in pieces]
     items.sort()
     where, room = pack(np.array([x[2] for x in items], float).reshape(-1, 3) / whole, np.full((n_shards, 3), 1 / n_shards))
     share = np.maximum(room, 0)
     share /= np.maximum(share.sum(axis=0), 1e-300)
-    schema = "key long, piece int, shard int"
+    schema = "key binary, piece int, shard int"
     placed = spark.createDataFrame([(k, p, int(s)) for (k, p, _), s in zip(items, where, strict=True)], schema)
     cells = max(1, -(-total["n"] // groups_per_cell))
 
@@ -89,13 +90,14 @@ def shard(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col:
         return pd.DataFrame({"key": cell["key"], "shard": ((at + turn) % n_shards).astype("int32")})
 
     light = groups.filter(part < HEAVY).withColumn("cell", F.pmod(F.hash("key"), F.lit(cells)))
-    light = light.groupBy("cell").applyInPandas(packed, "key long, shard int")
-    of_heavy = rows.withColumn("piece", F.when(F.col("key").isin(split), F.col("piece")).otherwise(F.lit(-1))) if split else rows.withColumn("piece", F.lit(-1))
+    light = light.groupBy("cell").applyInPandas(packed, "key binary, shard int")
+    rows = rows.withColumn("salt", F.when(F.col("id").isNull(), F.col("row")))  # rows without an id are dealt too
+    of_heavy = rows.withColumn("piece", F.when(F.col("key").isin(split), piece).otherwise(F.lit(-1))) if split else rows.withColumn("piece", F.lit(-1))
     marked = of_heavy.join(F.broadcast(placed), ["key", "piece"], "left")
     slot_cells = max(1, -(-(total["rows"] or 0) // rows_per_slot_cell))
-    keep = ["id", "size", "tokens", "text_crc32", "shard"]
+    keep = ["id", "size", "tokens", "text_crc32", "shard", "salt"]
     dealt = marked.filter("shard is not null").select(*keep).unionByName(marked.filter("shard is null").drop("shard").join(light, "key").select(*keep))
-    dealt = written(dealt.withColumn("cell", F.pmod(F.xxhash64("id", "text_crc32"), F.lit(slot_cells)).cast("int")), "dealt")
+    dealt = written(dealt.withColumn("cell", F.pmod(F.xxhash64("id", "text_crc32", "salt"), F.lit(slot_cells)).cast("int")), "dealt")
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("shard", "cell").count().select("shard", "cell", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
     within = Window.partitionBy("shard", "cell").orderBy("id", "text_crc32")
