@@ -5,7 +5,8 @@ in which the running sum passes the source's budget is refined into 1,024 smalle
 hash. What lies below that threshold is taken, by a filter: no documents are sorted. Thresholds of smaller
 budgets nest in those of larger ones. A budget over the source's size takes all documents so many whole
 times, and the rest of it by the threshold. What the whole documents below the threshold miss is made
-up by the one further document that fits best, if any brings the sum nearer.
+up by the one further document that fits best, if any brings the sum nearer; this one lies outside of the thresholds and
+does not nest.
 
 Nulls and edges: a null source is a source of its own, ordered last; a null text has no words; a null id
 hashes as an empty string; rows with one id are taken or left together; a source without words has target
@@ -24,23 +25,37 @@ BITS, LEVELS = 10, 6
 MOST = 3
 
 
+def ranked(df: DataFrame, by: str) -> DataFrame:
+    """Adds ``rank`` (from 0, nulls last): parts by range are sorted on their own, and their counts added up; no task sees all rows."""
+    parts = written(df.repartitionByRange(F.col(by).asc_nulls_last()).withColumn("part", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
+    starts = parts.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = Window.partitionBy("part").orderBy(F.col(by).asc_nulls_last())
+    return parts.withColumn("nth", F.row_number().over(within) - 1).join(F.broadcast(starts), "part").withColumn("rank", F.col("start") + F.col("nth")).drop("part", "start", "nth")
+
+
 def targets(sources: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = MOST) -> DataFrame:
-    """Of (source, source_size): adds target double; one row per source, so the windows see no documents.
+    """Of (source, source_size): adds target double; one row per source.
 
     Weights repeat over the sources by code point, null last; all targets together are all sizes; none is
-    over ``most`` times its source's size, and the excess is shared by weight among the others until none is.
+    over ``most`` times its source's size, and the excess is shared by weight among the others until none is: the level
+    of a share rises, by sums over the sources that are below their cap, until it stays.
     """
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*map(F.lit, weights)), F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))).cast("int") + 1)
-    x = sources.withColumn("w", weight.cast("long")).withColumn("cap", (F.col("source_size") * most).cast("long"))
-    rise = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
-    before, everything = rise.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    left = F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0))
-    weigh = F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0))
-    x = x.withColumn("level", left / weigh)  # of all others, if the sources before are at their caps
-    free = F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.struct(F.col("cap") / F.col("w"), "level"))).over(everything)
-    x = x.withColumn("free", free["level"])
-    return x.withColumn("target", F.coalesce(F.least(F.col("free") * F.col("w"), F.col("cap").cast("double")), F.lit(0.0))).select("source", "source_size", "target")
+    weight = F.element_at(F.array(*map(F.lit, weights)), F.pmod("rank", F.lit(len(weights))).cast("int") + 1)
+    x = ranked(sources, "source").withColumn("w", weight.cast("long")).withColumn("cap", (F.col("source_size") * most).cast("long"))
+    x = written(x.select("source", "source_size", "w", "cap"), "weighed")
+    total, level = x.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0], 0.0
+    while True:
+        over = F.col("cap") < F.lit(level) * F.col("w")
+        capped, free = x.agg(F.sum(F.when(over, F.col("cap")).otherwise(0)), F.sum(F.when(~over, F.col("w")).otherwise(0))).first()
+        if not free:  # no source, or all at their caps
+            level = float("inf")
+            break
+        higher = (total - capped) / free
+        if higher <= level:
+            break
+        level = higher
+    return x.select("source", "source_size", F.least(F.lit(level) * F.col("w"), F.col("cap").cast("double")).alias("target"))
 
 
 def id_hash(id_col: str = "doc_id") -> Column:
@@ -67,9 +82,13 @@ def decisions(rows: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int =
     per = written(per.withColumn("budget", F.col("target") - F.col("full") * F.col("source_size")), "targets")
     # (k, prefix, below): what is sought lies among hashes with this prefix; words below them
     edge = written(per.filter("budget > 0").select("k", "budget", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below")), "edge0")
+    some = rows
     for level in range(1, LEVELS + 1):
         shift = BITS * (LEVELS - level)
-        inside = join_small(rows, edge, ["k"], "inner", ["h"], limit).filter(F.shiftrightunsigned("h", shift + BITS) == F.col("prefix"))
+        inside = join_small(some, edge, ["k"], "inner", ["h"], limit).filter(F.shiftrightunsigned("h", shift + BITS) == F.col("prefix"))
+        if level == 2:  # from here on only the rows of boundary buckets are read
+            some = written(inside.select(*rows.columns), "boundary")
+            inside = join_small(some, edge, ["k"], "inner", ["h"], limit)
         sums = inside.groupBy("k", "budget", "below", F.shiftrightunsigned("h", shift).alias("bucket")).agg(F.sum("size").alias("sum"), F.min("h").alias("low"), F.max("h").alias("high"))
         running = F.sum("sum").over(Window.partitionBy("k").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
         found = sums.withColumn("upto", F.col("below") + running).filter("upto > budget")
