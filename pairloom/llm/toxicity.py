@@ -6,7 +6,7 @@ for every pair of terms in a text: a pair such as an insult and the mention of a
 although neither does alone, which linear weights cannot say.
 
 It is fitted on the driver, over terms that tell the classes apart in the sample, on a sample of labelled
-rows bounded by ``SAMPLE``; scoring is one pass over all whole texts without a shuffle, with the model (at most
+rows bounded by ``SAMPLE`` rows and ``HELD`` terms; scoring is one pass over all whole texts without a shuffle, with the model (at most
 ``TERMS`` terms) as a broadcast of bounded size.
 
 Nulls and edges: null and empty texts have no terms and the score of the bias; null labels and labels without a
@@ -25,14 +25,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow
+from .common import in_arrow, written
 from .words import Spans, batched, mapping, windows
 
 #: Labelled rows that are learned from at most: those with the lowest hash of the id.
 SAMPLE = 60_000
 #: Terms that the machine knows at most, and how far (in standard deviations) a term's share must differ.
-TERMS, SIGMAS, LEAST_ROWS = 8_192, 3.7, 2
-BITS, FACTORS, EPOCHS, RATE, L2 = 24, 4, 20, 0.1, 1e-5
+TERMS, SIGMAS, LEAST_ROWS = 8_192, 2.5, 2
+#: SIGMAS, EPOCHS, REPEATS, BEGIN and END are those of the best area under the curve of a three-fold cross-validation over rows
+#: that may be learned from.
+BITS, FACTORS, EPOCHS, RATE, L2 = 24, 4, 10, 0.1, 1e-5
+#: Terms of the sample's rows, all together, that the driver takes at most (4 bytes each); of longer rows, fewer are taken.
+HELD = 8_000_000
 THRESHOLD = 0.3
 _TABLE = mapping(also_space=bytes(b for b in range(33, 127) if not chr(b).isalnum()) + bytes(range(9)) + bytes(range(14, 32)))
 #: Occurrences of a term in a text up to this number are told apart; a term's number is hash * 4 + occurrences - 1.
@@ -152,47 +156,49 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Machine:
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, held: int = HELD
+) -> Machine:
     spark = docs.sparkSession
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
-    known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
-    known = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)  # the documented bound of the sample
-    rows = docs.join(F.broadcast(known), docs[id_col] == known["_id"]).select(known["_y"], docs[text_col].cast("binary").alias("text"))
-    rows = rows.persist()
-    try:
-
-        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                y = b.column(0).to_numpy(zero_copy_only=False)
-                ids, of = [], []
-                for k, t in enumerate(text_terms(b.column(1).to_pylist())):
-                    ids.append(t)
-                    of.append(np.full(len(t), y[k] > 0))
-                if not ids:
-                    continue
-                ids, of = np.concatenate(ids), np.concatenate(of)
-                u, at = np.unique(ids, return_inverse=True)
-                n, n1 = np.bincount(at, minlength=len(u)), np.bincount(at, of, len(u)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n.astype(np.int64)), pa.array(n1)], ["term", "n", "n1"])
-
-        size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("_y") > 0).cast("int")), F.lit(0)).alias("n1")).first()
-        n, n1 = size["n"], size["n1"]
-        p = n1 / max(1, n)
-        z = F.abs(F.col("n1") - p * F.col("n")) / F.sqrt(F.col("n") * (p * (1 - p) + 1e-9))
-        counts = in_arrow(rows, counted, "term int, n long, n1 long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
-        chosen = counts.filter(F.col("n") >= LEAST_ROWS).withColumn("z", z).filter(F.col("z") >= SIGMAS)
-        terms = np.array(sorted(r["term"] for r in chosen.orderBy(F.desc("z"), "term").limit(TERMS).collect()), np.int32)
-        shared = spark.sparkContext.broadcast(terms)
-
-        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own, bits = shared.value, hash_bits(shared.value)
-            for b in batches:
-                ids = [among(t, own).tobytes() for t in text_terms(b.column(1).to_pylist(), bits)]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["y", "ids"])
-
-        own = in_arrow(rows, found, "y int, ids binary").toArrow()
-    finally:
-        rows.unpersist()
+    known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y")).withColumn("_h", F.xxhash64("_id"))
+    known = written(known.orderBy("_h", "_id").limit(sample), "known")  # the documented bound of the sample
+    rows = docs.join(F.broadcast(known), docs[id_col] == known["_id"]).select(known["_y"], docs[text_col].cast("binary").alias("text"), known["_h"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            y = b.column(0).to_numpy(zero_copy_only=False)
+            ids, of = [], []
+            for k, t in enumerate(text_terms(b.column(1).to_pylist())):
+                ids.append(t)
+                of.append(np.full(len(t), y[k] > 0))
+            if not ids:
+                continue
+            ids, of = np.concatenate(ids), np.concatenate(of)
+            u, at = np.unique(ids, return_inverse=True)
+            n, n1 = np.bincount(at, minlength=len(u)), np.bincount(at, of, len(u)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n.astype(np.int64)), pa.array(n1)], ["term", "n", "n1"])
+
+    size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("_y") > 0).cast("int")), F.lit(0)).alias("n1")).first()
+    n, n1 = size["n"], size["n1"]
+    p = n1 / max(1, n)
+    z = F.abs(F.col("n1") - p * F.col("n")) / F.sqrt(F.col("n") * (p * (1 - p) + 1e-9))
+    counts = in_arrow(rows, counted, "term int, n long, n1 long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
+    chosen = counts.filter(F.col("n") >= LEAST_ROWS).withColumn("z", z).filter(F.col("z") >= SIGMAS)
+    terms = np.array(sorted(r["term"] for r in chosen.orderBy(F.desc("z"), "term").limit(TERMS).collect()), np.int32)
+    shared = spark.sparkContext.broadcast(terms)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, bits = shared.value, hash_bits(shared.value)
+        for b in batches:
+            ids = [among(t, own).tobytes() for t in text_terms(b.column(1).to_pylist(), bits)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), b.column(2)], ["y", "ids", "h"])
+
+    own = written(in_arrow(rows, found, "y int, ids binary, h long"), "terms")
+    total = (own.agg(F.sum(F.length("ids"))).first()[0] or 0) // 4
+    if total > held:
+        own = own.filter(F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < F.lit(int((1 << 20) * held / total)))
+    own = own.select("y", "ids").toArrow()
     y = np.array(own["y"].to_pylist(), float) > 0
     data = [np.frombuffer(x, np.int32) for x in own["ids"].to_pylist()]
     order = sorted(range(len(data)), key=lambda i: (y[i], data[i].tobytes()))  # whatever the order in which rows came
