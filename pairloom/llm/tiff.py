@@ -32,8 +32,10 @@ WIDTH, STRIP_ROWS, PAGE_ROWS = 576, 64, 1024
 NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 _SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8, 13: 4, 16: 8, 17: 8, 18: 8}
 _CODES = {1: "B", 3: "H", 4: "I", 13: "I", 16: "Q", 18: "Q", 6: "b", 8: "h", 9: "i", 17: "q"}
-#: No page of more bytes than this is decoded: its directory is taken to be broken.
-MOST_BYTES = 1 << 30
+#: A page is one value of a table, which holds no more bytes than this.
+MOST_BYTES = (1 << 31) - (1 << 16)
+#: Bytes of pages that are handed on at once.
+BATCH = 4 << 20
 #: What reading broken files can raise.
 BROKEN = (ValueError, LookupError, ArithmeticError, TypeError, MemoryError, struct.error, zlib.error)
 _REVERSED = bytes(int(f"{i:08b}"[::-1], 2) for i in range(256))
@@ -345,12 +347,24 @@ def read_pages(media: DataFrame, id_col: str = "doc_id", media_col: str = "media
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            where, rows, held = [], [], 0
+
+            def batch(ids: pa.Array = b.column(0)) -> pa.RecordBatch:
+                columns = zip(*rows, strict=True)
+                kinds = [pa.int32()] * len(names) + [pa.binary(), pa.string()]
+                return pa.RecordBatch.from_arrays([ids.take(pa.array(where)), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], [id_col, *names, "data", "error"])
+
             for i in range(b.num_rows):
                 for number, p, error in read_each(_value(b.column(1)[i])):
-                    values = [p.number, p.width, p.height, p.samples, p.bits, p.compression, p.predictor] if p else [number] + [None] * 6
-                    data = p.data if p else None
-                    columns = [pa.array([v], pa.int32()) for v in values]
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), *columns, pa.array([data], pa.binary()), pa.array([error], pa.string())], [id_col, *names, "data", "error"])
+                    values = (p.number, p.width, p.height, p.samples, p.bits, p.compression, p.predictor, p.data) if p else (number, *[None] * 7)
+                    where.append(i)
+                    rows.append((*values, error))
+                    held += 100 + (len(p.data) if p else 0)
+                    if held > BATCH:
+                        yield batch()
+                        where, rows, held = [], [], 0
+            if rows:
+                yield batch()
 
     schema = f"`{id_col}` {kind}, " + ", ".join(f"{n} int" for n in names) + ", data binary, error string"
     return in_arrow(media.select(id_col, media_col), run, schema)

@@ -7,7 +7,7 @@ large the payload. Records of one chunk, nearly all, are read where they lie; on
 are brought together, by record, and streamed in order. The bytes of a record's rows are a valid WARC 1.1
 record; ``WarcReader`` also reads files of records, plain or gzipped.
 
-Of records with equal payloads of at least ``least`` bytes, that with the largest id is stored whole (response);
+Payloads are told by SHA-256 and length, and described by SHA-1, as the format does. Of records with equal payloads of at least ``least`` bytes, that with the largest id is stored whole (response);
 the others are revisits that hold the headers and refer to it.
 
 Nulls and edges: a null payload counts as empty; a null address gives a record without one; a null id is
@@ -112,6 +112,8 @@ class WarcReader:
                     raise ValueError("not a WARC record")
                 self.headers = {k.strip().lower(): v.strip() for k, _, v in (x.decode("utf-8", "replace").partition(":") for x in lines[1:])}
                 self.left = int(self.headers["content-length"])
+                if self.left < 0:
+                    raise ValueError("a record of less than no bytes")
                 del self.buffer[:n]
                 if self.headers.get("content-type", "").startswith("application/http"):
                     self.state = "http"
@@ -135,13 +137,16 @@ class WarcReader:
                 self.state = "tail"
 
 
-def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = LEAST, chunk_bytes: int = CHUNK_BYTES, limit: int | None = None) -> DataFrame:
-    """Writes the pages as a chunked record table in the shared folder and returns it (CHUNK_SCHEMA)."""
+def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = LEAST, chunk_bytes: int = CHUNK_BYTES, limit: int | None = None, path: str | None = None) -> DataFrame:
+    """Writes the pages as a chunked record table and returns it (CHUNK_SCHEMA).
+
+    It is written to ``path`` (to stay), or into the shared folder as a scratch table.
+    """
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
-    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha1(payload).alias("sha1"))
-    marks = own.select("id", "sha1", F.length("payload").alias("n")).filter(F.col("n") >= least)
-    first = written(marks.groupBy("sha1").agg(F.max("id").alias("first"), F.count("*").alias("copies")).filter("copies > 1").drop("copies"), "first")
-    joined = join_small(own, first, ["sha1"], "left", ["id", "url"], limit)
+    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.sha1(payload).alias("sha1"), F.sha2(payload, 256).alias("sha256"), F.length(payload).alias("n"))
+    marks = own.select("id", "sha256", "n").filter(F.col("n") >= least)
+    first = written(marks.groupBy("sha256", "n").agg(F.max("id").alias("first"), F.count("*").alias("copies")).filter("copies > 1").drop("copies"), "first")
+    joined = join_small(own, first, ["sha256", "n"], "left", ["id", "url"], limit)
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     rows = joined.select("id", "url", "payload", "sha1", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
 
@@ -172,7 +177,11 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         if out:
             yield _chunks(out)
 
-    return written(in_arrow(rows, run, CHUNK_SCHEMA), "archive")
+    out = in_arrow(rows, run, CHUNK_SCHEMA)
+    if path is None:
+        return written(out, "archive")
+    out.write.parquet(path)
+    return pages.sparkSession.read.schema(CHUNK_SCHEMA).parquet(path)
 
 
 def _chunks(rows: list[tuple]) -> pa.RecordBatch:
@@ -225,30 +234,40 @@ def read_archive(chunks: DataFrame, id_col: str = "page_id", id_type: str = "big
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """WARC files (.warc, .warc.gz) as payload chunks: path, record_no, chunk_no, type, uri, record_id, data, sha1.
+    """WARC files (.warc, .warc.gz) as payload chunks: path, record_no, chunk_no, type, uri, record_id, data, sha1, error.
 
-    Files come through Spark's own reader, so any store it reads will do; a file is at most 2 GB.
+    Files come through Spark's own reader, so any store it reads will do; a file is one value there, so it has at most 2 GB
+    and is held whole (archives that this package writes are tables of chunks, and are not). A file that is not well formed, or
+    ends within a record, gives what was read before, and a last row whose ``error`` says so.
     """
-    schema = "path string, record_no long, chunk_no int, type string, uri string, record_id string, data binary, sha1 string"
+    schema = "path string, record_no long, chunk_no int, type string, uri string, record_id string, data binary, sha1 string, error string"
     names = [x.split()[0] for x in schema.split(", ")]
-    kinds = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string())
+    kinds = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.string())
+
+    def rows(file: str, data: memoryview) -> Iterator[tuple]:
+        reader, record, number, h, digest = WarcReader(bytes(data[:2]) == b"\x1f\x8b"), -1, 0, {}, hashlib.sha1()
+        try:
+            for at in range(0, len(data), CHUNK_BYTES):
+                for event, x in reader.feed(bytes(data[at : at + CHUNK_BYTES])):
+                    if event == "record":
+                        record, number, h, digest = record + 1, 0, dict(x), hashlib.sha1()
+                        continue
+                    if event == "end" and number:
+                        continue
+                    part = x or b""  # a record without a payload has one empty chunk
+                    digest.update(part)
+                    yield file, record, number, h.get("warc-type"), h.get("warc-target-uri"), h.get("warc-record-id"), bytes(part), digest.hexdigest(), None
+                    number += 1
+            error = "the file ends within a record" if reader.state != "head" or reader.buffer.strip() else None
+        except (ValueError, KeyError, zlib.error) as e:
+            error = str(e) or type(e).__name__
+        if error:
+            yield file, record, number, h.get("warc-type"), h.get("warc-target-uri"), h.get("warc-record-id"), None, None, error
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for file, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                data = memoryview(content.as_buffer())
-                reader, record, number, h, digest = WarcReader(bytes(data[:2]) == b"\x1f\x8b"), -1, 0, {}, hashlib.sha1()
-                for at in range(0, len(data), CHUNK_BYTES):
-                    for event, x in reader.feed(bytes(data[at : at + CHUNK_BYTES])):
-                        if event == "record":
-                            record, number, h, digest = record + 1, 0, dict(x), hashlib.sha1()
-                            continue
-                        if event == "end" and number:
-                            continue
-                        part = x or b""  # a record without a payload has one empty chunk
-                        digest.update(part)
-                        row = (file, record, number, h.get("warc-type"), h.get("warc-target-uri"), h.get("warc-record-id"), bytes(part), digest.hexdigest())
-                        number += 1
-                        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
+                for row in rows(file, memoryview(content.as_buffer())):
+                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
 
     return in_arrow(spark.read.format("binaryFile").load(path).select("path", "content"), run, schema)

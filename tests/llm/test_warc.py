@@ -67,6 +67,30 @@ def test_files(spark, tmp_path):
         assert mine[-1].sha1 == hashlib.sha1(bodies[-1]).hexdigest() and mine[-1].uri == "http://h/2"
 
 
+def test_broken_files_give_what_they_hold_and_an_error(spark, tmp_path):
+    good = head("response", 1, "http://h/1", 5, hashlib.sha1(b"first").hexdigest(), None) + b"first\r\n\r\n"
+    long = head("response", 2, "http://h/2", 200_000, "00" * 20, None) + b"x" * 200_000
+    broken = {
+        "cut": good + long[:-50_000], "head": good + long[:20], "noise": good + b"HTTP/1.1 no record\r\n\r\n", "length": good + b"WARC/1.1\r\nContent-Length: x\r\n\r\n",
+        "minus": good + b"WARC/1.1\r\nContent-Length: -4\r\n\r\n", "none": good + b"WARC/1.1\r\nWARC-Type: response\r\n\r\n", "tail": good + long + b"no end", "gz.gz": gzip.compress(good) + gzip.compress(long)[:-30],
+    }
+    for name, data in {**broken, "good": good + good, "empty": b""}.items():
+        (tmp_path / name).write_bytes(data)
+    got = read_files(spark, f"file://{tmp_path}/*").collect()
+    for name in broken:
+        mine = [r for r in got if r.path.endswith(f"/{name}")]
+        assert bytes(mine[0].data) == b"first" and [bool(r.error) for r in mine] == [False] * (len(mine) - 1) + [True], name
+    assert not any(r.error for r in got if r.path.endswith(("/good", "/empty")))
+
+
+def test_an_archive_that_stays(spark, tmp_path):
+    pages = spark.createDataFrame([(k, "u", "same page " * 200) for k in range(5)], "page_id long, url string, html string")
+    path = f"file://{tmp_path}/archive"
+    write_archive(pages, path=path)
+    got = {r.page_id: (r.record_type, r.refers_to) for r in read_archive(spark.read.parquet(path)).collect()}
+    assert got == {k: ("revisit", 4) for k in range(4)} | {4: ("response", None)}
+
+
 def test_any_split_of_the_bytes_reads_alike():
     body = b"payload \r\n\r\n" * 30
     data = (head("response", 1, "u", len(body), hashlib.sha1(body).hexdigest(), None) + body + b"\r\n\r\n") * 2
