@@ -15,6 +15,7 @@ OTHER_ENDS = ".!?\\n"
 CJK = r"\x{4e00}-\x{9fff}\x{3400}-\x{4dbf}"
 NOISE = r"\A[A-Za-z0-9[^\p{L}\p{N}_]]+\z"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
+# Fixed values.
 #: Recognisers report failures in their text, which then begins so.
 FAILURE = "Tự Hán ("
 #: What recognition is known to get wrong, replaced in this order.

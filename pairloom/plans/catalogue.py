@@ -6,13 +6,21 @@ box is an event (x: its time, y: its value). Every query reads its whole tables.
 
 from __future__ import annotations
 
+import io
+import json
+import zipfile
+from xml.etree import ElementTree
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import align, layout, tfidf, vote, works
+from ..sources import providers, readers, sinks
+from .engine import global_text, step_counts
 
 LATIN = r"\x{c0}-\x{ff}"
 #: Boundary between bands of events, in microseconds.
@@ -346,3 +354,262 @@ def q24_centroid(spark, sf_dir):
     poly = F.array(corner(x, y), corner(x + 4, y), corner(x + 4, y + 2), corner(x, y + 2))
     rows = _table(spark, sf_dir, "events").select("event_id", poly.alias("poly"))
     return rows.select("event_id", layout.centroid(F.col("poly"), "x").alias("cx"), layout.centroid(F.col("poly"), "y").alias("cy"))
+
+
+def _detector():
+    """Stands in for a model: a box for every line of the page's text."""
+
+    def model(content: bytes):
+        found = []
+        for k, line in enumerate(content.decode().split("\n")):
+            x, y = k * 137 % 1000, k * 61 % 500
+            found.append(([(x, y), (x + 10, y), (x + 10, y + 10), (x, y + 10)], line, len(line) % 10 / 10))
+        return found
+
+    return model
+
+
+def _teller():
+    """Stands in for a recogniser that fails on some pages and reports a failure on others."""
+
+    def model(content: bytes) -> str:
+        if len(content) % 3 == 0:
+            raise ValueError("unreadable")
+        return f"{T.FAILURE}no text)" if len(content) % 3 == 1 else f"A:{content.decode()}"
+
+    return model
+
+
+def _reader():
+    return bytes.decode
+
+
+def _page_contents(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", F.lit("w").alias("work_id"), F.col("doc_id").alias("page"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+
+
+def _recognised(spark, sf_dir, providers_):
+    pages = _page_contents(spark, sf_dir)
+    texts = vote.vote_all(providers.recognise(pages, providers_, "page"), pages, ["work_id", "page"])
+    return texts.select(F.col("page").alias("doc_id"), F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"))
+
+
+@query(
+    r"""
+WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+k AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS k, unnest(l) AS line FROM l),
+b AS (SELECT doc_id, k, line, k * 137 % 1000 + 5 AS cx, k * 61 % 500 + 5 AS cy FROM k
+      WHERE CAST(length(line) % 10 AS DOUBLE) / 10 >= 0.4::DOUBLE AND NOT regexp_matches(line, '\A(?:[A-Za-z0-9]|[^\p{L}\p{N}_])+\z')),
+s AS (SELECT *, CASE WHEN cx - lag(cx) OVER w > 90 THEN 1 ELSE 0 END AS start FROM b WINDOW w AS (PARTITION BY doc_id ORDER BY cx, k)),
+n AS (SELECT *, sum(start) OVER (PARTITION BY doc_id ORDER BY cx, k) AS band FROM s),
+t AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY band DESC, cy, cx, k) AS text FROM n GROUP BY ALL)
+SELECT doc_id, md5(coalesce(t.text, '')) AS text_md5, CAST(length(coalesce(t.text, '')) AS INT) AS n_chars FROM documents LEFT JOIN t USING (doc_id)"""
+)
+def q25_box_recogniser(spark, sf_dir):
+    """Detection, confidence, noise, centroids, bands and reading order, as one recogniser among the voters."""
+    return _recognised(spark, sf_dir, [("boxes", _detector, "boxes")])
+
+
+@query(
+    """
+WITH t AS (SELECT doc_id, CASE WHEN octet_length(encode(coalesce(text, ''))) % 3 = 2 THEN 'A:' || text ELSE coalesce(text, '') END AS text FROM documents)
+SELECT doc_id, md5(text) AS text_md5, CAST(length(text) AS INT) AS n_chars FROM t"""
+)
+def q26_ensemble_of_recognisers(spark, sf_dir):
+    """Of two recognisers the first wins ties; where it fails, or reports a failure, the second does."""
+    return _recognised(spark, sf_dir, [("first", _teller), ("second", _reader)])
+
+
+def _vision():
+    def call(content: bytes) -> str:
+        if len(content) % 5 == 0:
+            return json.dumps({"error": {"message": "quota"}})
+        return json.dumps({"responses": [{"fullTextAnnotation": {"text": content.decode()}}]})
+
+    return call
+
+
+def _vertical():
+    def call(content: bytes) -> str:
+        if len(content) % 7 == 0:
+            return json.dumps({"code": 5, "msg": "busy"})
+        return json.dumps({"code": 0, "msg": "success", "data": [{"text": content.decode()}, "end", 7, {"other": 1}]})
+
+    return call
+
+
+@query(
+    f"""
+WITH t AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, coalesce(text, '') AS text FROM documents),
+v AS (SELECT doc_id, CASE WHEN n % 5 = 0 THEN NULL ELSE {_SQL_STRIP % 'text'} END AS a, CASE WHEN n % 7 = 0 THEN NULL ELSE text || chr(10) || 'end' END AS b FROM t),
+w AS (SELECT doc_id, coalesce(a, b, 'Tự Hán (Vision - API Error: quota)') AS text FROM v)
+SELECT doc_id, md5(text) AS text_md5, CAST(length(text) AS INT) AS n_chars FROM w"""
+)
+def q27_web_recognisers(spark, sf_dir):
+    """The answers of two services are taken apart before the vote."""
+    return _recognised(spark, sf_dir, [("vision", _vision, "vision"), ("vertical", _vertical, "vertical")])
+
+
+@query(
+    f"""
+WITH {_SQL_SENTENCES}
+SELECT conv_id, printf('pair_%04d', pos + 1) AS pair_id, coalesce(a.sentence, '') AS han_sentence, coalesce(b.sentence, '') AS viet_sentence
+FROM (SELECT * FROM sentences WHERE side = 'source') a FULL JOIN (SELECT * FROM sentences WHERE side = 'target') b USING (conv_id, pos)"""
+)
+def q28_tsv_round_trip(spark, sf_dir):
+    """Pairs written as tab-separated files with a header, a folder per work, and read again."""
+    path = sinks.scratch(spark, "pairs_tsv")
+    sinks.pairs_tsv(align.positional(*_sides(_sentences(spark, sf_dir)), "conv_id"), path, ["conv_id"])
+    kept = spark.read.schema("pair_id string, han_sentence string, viet_sentence string, conv_id long")
+    rows = kept.options(sep="\t", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return rows.select("conv_id", "pair_id", *(F.coalesce(c, F.lit("")).alias(c) for c in ("han_sentence", "viet_sentence")))
+
+
+_SQL_WORKS = """
+w AS (SELECT source AS work_id, string_agg(text, chr(10) ORDER BY doc_id) AS text FROM documents GROUP BY ALL)"""
+
+
+def _works(spark, sf_dir):
+    return works.joined(_table(spark, sf_dir, "documents"), ["source"], "doc_id").withColumnRenamed("source", "work_id")
+
+
+@query(f"WITH {_SQL_WORKS}, l AS (SELECT work_id, {_sql_segments('text', _HAN)} AS l FROM w) SELECT work_id, CAST(generate_subscripts(l, 1) - 1 AS INT) AS pos, unnest(l) AS sentence FROM l")
+def q29_text_files(spark, sf_dir):
+    """Raw texts are written as files, read and segmented; sentences are written as files of lines, and read back."""
+    raw, lines = sinks.scratch(spark, "raw"), sinks.scratch(spark, "sentences")
+    sinks.raw_files(_works(spark, sf_dir), raw)
+    found = works.sentences(readers.raw_folders(spark, raw).withColumn("work_id", F.col("work_id").cast("string")), ["work_id"], T.segment(F.col("text")))
+    sinks.sentence_files(found, lines)
+    stored = readers.raw_folders(spark, lines).withColumn("work_id", F.col("work_id").cast("string"))
+    parts = F.filter(F.transform(F.split("text", "\n"), T.strip), lambda x: F.length(x) > 0)
+    return works.sentences(stored, ["work_id"], parts)
+
+
+_ENDINGS = (".PNG", ".jpg", ".txt", ".jpeg", ".pdf", ".Pdf")
+
+
+@query(
+    f"""
+WITH f AS (SELECT source AS work_id, 'Page_' || doc_id || {list(_ENDINGS)}[doc_id % 6 + 1] AS file_name FROM documents)
+SELECT work_id, file_name, CAST(row_number() OVER (PARTITION BY work_id ORDER BY file_name) - 1 AS INT) AS page_no FROM f WHERE regexp_matches(file_name, '(?i)[.](png|jpe?g)$')"""
+)
+def q30_page_files(spark, sf_dir):
+    """Images are told by their ending in any case, and numbered by name within a work."""
+    ending = F.element_at(F.array(*map(F.lit, _ENDINGS)), (F.col("doc_id") % 6 + 1).cast("int"))
+    path = F.concat(F.lit("/in/"), "source", F.lit("/Page_"), "doc_id", ending)
+    files = _table(spark, sf_dir, "documents").select(F.col("source").alias("work_id"), T.file_name(path).alias("file_name"))
+    return readers.numbered(files)
+
+
+@query(
+    f"""
+SELECT source || '_' || doc_id AS work_id, CAST(0 AS INT) AS page_no, 'Mock content extracted from ' || source || '_' || doc_id || '.pdf' AS text
+FROM documents WHERE ends_with({list(_ENDINGS)}[doc_id % 6 + 1], '.pdf')"""
+)
+def q31_translation_files(spark, sf_dir):
+    """Translations are told by a lower-case ending; without a PDF library their page says where it is from."""
+    ending = F.element_at(F.array(*map(F.lit, _ENDINGS)), (F.col("doc_id") % 6 + 1).cast("int"))
+    files = _table(spark, sf_dir, "documents").select(F.concat("source", F.lit("_"), "doc_id", ending).alias("path"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    files = files.filter(F.endswith("path", F.lit(".pdf"))).withColumn("work_id", F.regexp_replace("path", readers.PDF, ""))
+    return readers.pdf_pages(files)
+
+
+@query(
+    """
+WITH t AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text FROM conversations WHERE role = 'assistant' GROUP BY ALL)
+SELECT 'global' AS work_id, string_agg(text, chr(10) ORDER BY conv_id) || chr(10) AS text FROM t"""
+)
+def q32_global_target(spark, sf_dir):
+    """The target side of all works as one text, which global mode segments and aligns."""
+    target = _raw(spark, sf_dir).filter("side = 'target'")
+    return global_text(target.select(F.col("conv_id").alias("work_id"), "text"))
+
+
+def _corrector():
+    def model(t: str) -> str:
+        if len(t) % 2:
+            raise ValueError("no answer")
+        return f"  {t.replace('a', 'b')} "
+
+    return model
+
+
+@query(
+    f"""
+SELECT doc_id, md5(CASE WHEN length({_SQL_STRIP % 'text'}) > 0 AND length(text) % 2 = 0 THEN {_SQL_STRIP % 'r'} ELSE text END) AS text_md5
+FROM (SELECT *, replace(text, 'a', 'b') AS r FROM documents)"""
+)
+def q33_corrector(spark, sf_dir):
+    """A corrector's text where it has one, else the text as it is."""
+    return _table(spark, sf_dir, "documents").select("doc_id", F.md5(providers.corrected(F.col("text"), _corrector)).alias("text_md5"))
+
+
+def _translator():
+    return lambda sentences: [f" {x}! " for x in sentences][:-1]
+
+
+@query(
+    f"""
+WITH {_SQL_SENTENCES}
+SELECT conv_id, pos, sentence, CASE WHEN pos = max(pos) OVER (PARTITION BY conv_id) THEN '' ELSE sentence || '!' END AS sentence_tr FROM sentences WHERE side = 'source'"""
+)
+def q34_translator(spark, sf_dir):
+    """One call per work; what the translator leaves out at the end is padded with empty texts."""
+    source, _ = _sides(_sentences(spark, sf_dir))
+    return providers.translated(source, "conv_id", _translator)
+
+
+def _sentence_model():
+    def model(t: str) -> list[str]:
+        if len(t) % 3 == 0:
+            raise ValueError("too hard")
+        return t.split(", ")
+
+    return model
+
+
+@query(
+    f"""
+WITH l AS (SELECT doc_id, CASE WHEN length(coalesce(text, '')) % 3 = 0 THEN {_SQL_PLAIN.replace('text', "coalesce(text, '')")}
+           ELSE list_filter(list_transform(string_split(replace(text, chr(10), ' '), ', '), lambda x: {_SQL_STRIP % 'x'}), lambda x: length(x) > 0) END AS l FROM documents)
+SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INT) AS pos, unnest(l) AS sentence FROM l"""
+)
+def q35_model_segmenter(spark, sf_dir):
+    """Sentences of a model, and where it fails those between full stops."""
+    return works.sentences(_table(spark, sf_dir, "documents"), ["doc_id"], providers.segmented(_sentence_model)(F.col("text")))
+
+
+@query(
+    f"""
+WITH {_SQL_SENTENCES},
+c AS (SELECT conv_id, count(*) FILTER (WHERE side = 'source') AS n_source, count(*) FILTER (WHERE side = 'target') AS n_target FROM sentences GROUP BY ALL)
+SELECT *, greatest(n_source, n_target) AS n_pairs FROM c"""
+)
+def q36_step_counts(spark, sf_dir):
+    """What a run's log tells of each work."""
+    source, target = _sides(_sentences(spark, sf_dir))
+    return step_counts(source, target, align.positional(source, target, "conv_id"), "conv_id")
+
+
+@query(
+    f"""
+WITH {_SQL_SENTENCES}
+SELECT conv_id, CAST(pos + 1 AS BIGINT) AS row_no, printf('pair_%04d', pos + 1) AS pair_id, coalesce(a.sentence, '') AS han_sentence, coalesce(b.sentence, '') AS viet_sentence
+FROM (SELECT * FROM sentences WHERE side = 'source') a FULL JOIN (SELECT * FROM sentences WHERE side = 'target') b USING (conv_id, pos)"""
+)
+def q37_spreadsheets(spark, sf_dir):
+    """Each work's pairs as a spreadsheet file, and what such a file holds when it is read again."""
+    books = sinks.workbooks(align.positional(*_sides(_sentences(spark, sf_dir)), "conv_id"), "conv_id")
+
+    def rows(batches):
+        for b in batches:
+            found = []
+            for conv_id, content in zip(b["conv_id"], b["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    sheet = ElementTree.fromstring(z.read("xl/worksheets/sheet1.xml"))
+                for n, row in enumerate(x for x in sheet.iter() if x.tag.endswith("}row")):
+                    if n:
+                        found.append((conv_id, n, *(("".join(c.itertext())) for c in row)))
+            yield pd.DataFrame(found, columns=["conv_id", "row_no", *sinks.HEADER])
+
+    return books.mapInPandas(rows, "conv_id long, row_no long, pair_id string, han_sentence string, viet_sentence string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -27,6 +27,18 @@ def page_images(spark: SparkSession, folder: str, content: bool = True) -> DataF
     return rows.join(numbers, ["work_id", "file_name"])
 
 
+def image_files(spark: SparkSession, folder: str) -> DataFrame:
+    """work_id, file_name, path, content: as ``page_images``, without numbers, so that no content is shuffled."""
+    own = _files(spark, f"{folder.rstrip('/')}/*/*").filter(F.col("path").rlike(IMAGE))
+    return own.select(F.element_at(F.split("path", "/"), -2).alias("work_id"), T.file_name(F.col("path")).alias("file_name"), "path", "content")
+
+
+def numbered(files: DataFrame, key: str = "work_id", name: str = "file_name") -> DataFrame:
+    """key, name, page_no (from 0, by name) of the image files among ``files``; only names are shuffled."""
+    own = files.filter(F.col(name).rlike(IMAGE)).select(key, name)
+    return own.withColumn("page_no", F.row_number().over(Window.partitionBy(key).orderBy(name)) - 1)
+
+
 def works(spark: SparkSession, folder: str) -> DataFrame:
     """work_id of every folder that holds a file, by its name."""
     return _files(spark, f"{folder.rstrip('/')}/*/*").select(F.element_at(F.split("path", "/"), -2).alias("work_id")).distinct()
@@ -64,6 +76,17 @@ def pdf_pages(files: DataFrame) -> DataFrame:
     return files.select("work_id", "path", "content").mapInPandas(run, f"work_id {kind}, page_no int, text string")
 
 
+def raw_folders(spark: SparkSession, path: str) -> DataFrame:
+    """key and text of what ``sinks.raw_files`` or ``sinks.sentence_files`` wrote: a folder per work, with carriage returns as line ends."""
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "text").withColumn("text", T.unix_lines(F.col("text")))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def raw_texts(spark: SparkSession, pattern: str, suffix: str) -> DataFrame:
     """work_id, text of files named work_id + ``suffix``, with carriage returns as line ends."""
     own = spark.read.text(pattern, wholetext=True).select(T.file_name(F.input_file_name()).alias("name"), "value")

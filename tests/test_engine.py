@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import json
+import zipfile
+from xml.etree import ElementTree
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -132,3 +136,85 @@ def test_stream(spark, tmp_path):
     assert query.awaitTermination(60)
     got = spark.read.parquet(f"file://{tmp_path}/out").orderBy("pos").collect()
     assert [r.sentence for r in got] == ["a.", "b", "c"]
+
+
+def page_boxes():
+    def model(content):
+        if content == b"x":
+            raise ValueError("unreadable")
+        return [([(0, 10 * k), (2, 10 * k), (2, 10 * k + 2), (0, 10 * k + 2)], t, 0.9) for k, t in enumerate(content.decode().split("。"))] + [([(0, 0)] * 4, "暗", 0.39)]
+
+    return model
+
+
+def vision_answer():
+    return lambda content: json.dumps({"responses": [{"fullTextAnnotation": {"text": content.decode() + "兩"}}]} if content != "三！".encode() else {"error": {"message": "quota"}})
+
+
+def vertical_answer():
+    return lambda content: json.dumps({"code": 0, "msg": "success", "data": [content.decode(), {"text": "。"}]})
+
+
+def test_boxes_and_services_to_pairs(spark, corpus, caplog):
+    """From boxes and answers of services to pairs: what each kind of recogniser reads is voted on."""
+    folders = f"file://{corpus}/source", f"file://{corpus}/target"
+    out = f"file://{corpus}/kinds"
+    engine = CorpusEngine(spark, out, [("boxes", page_boxes, "boxes"), ("vision", vision_answer, "vision"), ("vertical", vertical_answer, "vertical")], exports=("tsv", "text", "xlsx"))
+    with caplog.at_level("WARNING"):
+        engine.run(*folders)
+    assert "1 works have no translation" in caplog.text and [r.work_id for r in spark.read.parquet(f"{out}/unmatched").collect()] == ["b"]
+    texts = {r.work_id: r.text for r in spark.read.parquet(f"{out}/source_raw").collect()}
+    assert texts == {"a": "銀。兩兩\n三！", "c": "十兩\n二兩"}
+    boxes = CorpusEngine(spark, None, [("boxes", page_boxes, "boxes")])
+    pairs = boxes.run(*folders).filter("source_sentence <> ''").orderBy("work_id", "pair_no").collect()
+    assert [(r.work_id, r.source_sentence) for r in pairs] == [("a", "銀"), ("a", "兩"), ("a", "三！"), ("c", "十"), ("c", "二")]
+    with pytest.raises(ValueError):
+        CorpusEngine(spark, None, [("x", reader, "none")]).run(*folders)
+    assert {r.work_id for r in readers.raw_folders(spark, f"{out}/text/source_raw").collect()} == {"a", "c"}
+    assert readers.raw_folders(spark, f"{out}/text/source_sentences").filter("work_id = 'c'").first().text == "十兩\n二兩\n"
+    assert sorted(r.work_id for r in spark.read.parquet(f"{out}/pairs_xlsx").filter("error is null").collect()) == ["a", "c"]
+
+
+def test_absent_folders_and_stages(spark, corpus, caplog):
+    folders = f"file://{corpus}/source", f"file://{corpus}/target"
+    engine = CorpusEngine(spark, f"file://{corpus}/absent", [("text", reader)])
+    with caplog.at_level("WARNING"):
+        assert engine.run(f"file://{corpus}/nowhere", folders[1]) is None and engine.run(folders[0], f"file://{corpus}/nowhere") is None
+        assert engine.run(steps=("align",)) is None
+    assert caplog.text.count("does not exist") == 2 and "segment step first" in caplog.text
+    engine.run(*folders, steps=("segment", "align"))  # no raw texts: the source side is empty, with a warning
+    assert "no raw texts" in caplog.text
+    pairs = engine.stored("pairs").collect()
+    assert {r.work_id for r in pairs} == {"a", "c"} and not any(r.source_sentence for r in pairs)
+    pairs = CorpusEngine(spark, f"file://{corpus}/absent", aligner=lambda a, b: b.select("work_id", F.lit(1).alias("pair_no"), F.lit("x").alias("pair_id"), F.lit("").alias("source_sentence"), F.col("sentence").alias("target_sentence")))
+    assert pairs.run(steps=("align",)).filter("pair_id = 'x'").count() > 0
+
+
+def test_first_pages_are_taken_by_name(spark, corpus):
+    files = readers.image_files(spark, f"file://{corpus}/source")
+    got = lambda n: sorted((r.work_id, r.file_name) for r in CorpusEngine(spark, first_pages=n).first_images(files).collect())
+    assert got(1) == [("a", "p1.png"), ("b", "p1.jpeg"), ("c", "p10.png")] and got(0) == [] and len(got(None)) == len(got(9)) == 5
+    with pytest.raises(ValueError):
+        got(-1)
+    plan = CorpusEngine(spark, first_pages=1).first_images(files)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<path:string>") <= 2 and "BroadcastHashJoin" in plan
+
+
+def test_spreadsheet(spark, tmp_path):
+    pairs = spark.createDataFrame([(1, "pair_0001", "a<b & \x01c", ""), (2, "pair_0002", " é ", None)], "pair_no int, pair_id string, source_sentence string, target_sentence string")
+    sinks.pairs_xlsx(pairs, str(tmp_path / "x.xlsx"))
+    with zipfile.ZipFile(tmp_path / "x.xlsx") as z:
+        assert not z.testzip() and {"[Content_Types].xml", "_rels/.rels", "xl/workbook.xml", "xl/_rels/workbook.xml.rels"} < set(z.namelist())
+        rows = [["".join(c.itertext()) for c in r] for r in ElementTree.fromstring(z.read("xl/worksheets/sheet1.xml"))[0]]
+    assert rows == [["pair_id", "han_sentence", "viet_sentence"], ["pair_0001", "a<b & c", ""], ["pair_0002", " é ", ""]]
+    with pytest.raises(ValueError):
+        sinks.workbook(("x",) for _ in range(sinks.SHEET_ROWS + 1))
+
+
+def test_framed_detector():
+    seen = []
+
+    def built():
+        return lambda image: seen.append(image.shape) or []
+
+    assert providers.framed(lambda b: np.zeros((10, 20, 3), np.uint8), built)()(b"x") == [] and seen == [(120, 110, 3)]
