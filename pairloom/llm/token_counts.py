@@ -13,7 +13,7 @@ edits through its tree in order, and returns the trees after them, so further ed
 Nulls and edges: a null text counts as empty (0 tokens); positions beyond the end mean the end; edits
 that cut a character are widened to whole characters; null fields of an edit are 0 or empty; texts of any length are
 counted whole, and any number of edits of one document is applied in one stream; documents that repeat an id are told
-apart by their texts, and an edit of the id applies to all; edits of unknown or null ids have no effect; extra columns are ignored.
+apart by their texts, and an edit of the id applies to all; an edit that equals the one before it, seq included, is the same and counts once; edits of unknown or null ids have no effect; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -185,7 +185,7 @@ def edited(data: bytes, at: int, delete: int, insert: bytes) -> bytes:
 
 def _key(text_col: str) -> F.Column:
     """What tells documents of one id apart."""
-    return F.sha2(text_of(text_col), 256)
+    return F.substring(F.sha2(text_of(text_col), 256), 1, 32)
 
 
 def build_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leaf_bytes: int = LEAF_BYTES, path: str | None = None) -> DataFrame:
@@ -233,11 +233,11 @@ def stream_edits(docs: DataFrame, trees: DataFrame, keyed: DataFrame, id_col: st
     rows = row(docs, 0, _key(text_col), data=text_of(text_col))
     rows = rows.unionByName(row(trees, 1, F.col("text_key"), sizes=F.col("sizes"), counts=F.col("counts")))
     rows = rows.unionByName(row(keyed, 2, F.col("text_key"), seq=F.col("seq"), at=F.col("at"), delete=F.col("delete"), data=F.col("insert")))
-    rows = rows.repartition("text_key", "id").sortWithinPartitions("text_key", "id", "kind", "seq")
+    rows = rows.repartition("text_key", "id").sortWithinPartitions("text_key", "id", "kind", "seq", "at", "delete")
     names = [id_col, "text_key", "text", "n_tokens", "sizes", "counts", "n_tokens_before", "n_leaves_before", "n_bytes", "reencoded_bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, at, data, copies, tree, before, out, held = codec(path), None, b"", 0, None, None, [], 0
+        own, at, data, copies, tree, before, last, out, held = codec(path), None, b"", 0, None, None, None, [], 0
         kinds: list[pa.DataType] = []
 
         def done() -> int:
@@ -256,7 +256,7 @@ def stream_edits(docs: DataFrame, trees: DataFrame, keyed: DataFrame, id_col: st
                 here = b.column(0)[k].as_py(), b.column(1)[k].as_py()
                 if here != at:
                     held += done()
-                    at, data, copies, tree, before = here, b"", 0, None, None
+                    at, data, copies, tree, before, last = here, b"", 0, None, None, None
                     if held > 4 << 20:
                         yield batch()
                         out, held = [], 0
@@ -268,7 +268,10 @@ def stream_edits(docs: DataFrame, trees: DataFrame, keyed: DataFrame, id_col: st
                 elif copies:
                     tree = tree or TokenTree(own, data)
                     before = before or (tree.n_tokens, len(tree.runs))
-                    tree.edit(b.column(4)[k].as_py() or 0, b.column(5)[k].as_py() or 0, _bytes(b.column(6)[k]))
+                    edit = b.column(3)[k].as_py(), b.column(4)[k].as_py() or 0, b.column(5)[k].as_py() or 0, _bytes(b.column(6)[k])
+                    if edit != last:
+                        tree.edit(*edit[1:])
+                    last = edit
         done()
         if out:
             yield batch()
@@ -298,6 +301,6 @@ def count_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     kind = docs.schema[id_col].dataType.simpleString()
     once = docs.select(F.col(id_col), _key(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    table = in_arrow(once, run, f"`{id_col}` {kind}, text_key string, seq long, at long, delete long, insert binary").dropDuplicates([id_col, "text_key", "seq"])
+    table = in_arrow(once, run, f"`{id_col}` {kind}, text_key string, seq long, at long, delete long, insert binary")
     out = stream_edits(docs, trees, table, id_col, text_col, path, texts=False)
     return out.select(id_col, F.col("n_tokens_before").alias("n_tokens"), F.col("n_leaves_before").alias("n_leaves"), F.col("n_tokens").alias("n_tokens_edited"), F.col("n_bytes").alias("n_bytes_edited"), "reencoded_bytes")
