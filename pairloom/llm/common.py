@@ -26,17 +26,17 @@ BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 WORD = r"[^\x20\x09-\x0D]+"
 
 _made: list[tuple[SparkSession, str]] = []
+_local: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local one is set only where none is named."""
+    """The shared folder of ``spark.checkpoint.dir``; where none is named, and only in local mode, one for this application."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = f"/tmp/checkpoints/{uuid.uuid4().hex}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _local.setdefault(spark.sparkContext.applicationId, f"/tmp/checkpoints/{uuid.uuid4().hex}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -51,11 +51,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_mark() -> int:
+    """The number of scratch tables so far, for ``drop_scratch``."""
+    return len(_made)
+
+
 @atexit.register
-def drop_scratch() -> None:
-    """Deletes the scratch tables of this process; results that still read them must be stored first."""
-    while _made:
-        spark, path = _made.pop()
+def drop_scratch(since: int = 0, keep: int = 0) -> None:
+    """Deletes the scratch tables made after the mark ``since``, but for the last ``keep``; results that read them must be stored first."""
+    end = len(_made) - keep
+    gone, _made[since:end] = _made[since:end], []
+    for spark, path in gone:
         try:
             jvm = spark.sparkContext._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)
