@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import sinks
+
 
 def paired(works: DataFrame, translations: DataFrame, key: str = "work_id") -> DataFrame:
     """Works that have a translation of exactly their name."""
@@ -42,10 +44,21 @@ def global_pieces(works: DataFrame, key: str = "work_id", text: str = "text") ->
 
     The whole would be one value that grows with the corpus; instead each piece says where it starts
     (``start``, in characters), so that any part of the whole can be put together. The running sum sees one
-    number per work, not the texts.
+    number per work, not the texts, and no task sees all works.
     """
     piece = works.select(key, F.concat(F.coalesce(text, F.lit("")), F.lit("\n")).alias("piece"))
-    sizes = piece.select(key, F.length("piece").alias("n"))
-    before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(key, F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start"))
-    return piece.join(starts, key)
+    starts = running(piece.select(key, F.length("piece").cast("long").alias("n")), key, "n")
+    return piece.join(starts.select(key, F.col("before").alias("start")), key)
+
+
+def running(rows: DataFrame, order: str, value: str) -> DataFrame:
+    """Adds ``before``: the sum of ``value`` over the rows that come earlier in ``order``.
+
+    Ranges of the order are summed on their own and by their totals, of which there is one per range, so no task sees all rows.
+    The ranges are stored, since a second run might draw them elsewhere.
+    """
+    ranges = sinks.stage(rows.repartitionByRange(order).withColumn("part", F.spark_partition_id()), sinks.scratch(rows.sparkSession, "ranges"))
+    earlier = lambda w: F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = ranges.groupBy("part").agg(F.sum(value).alias(value)).select("part", earlier(Window.orderBy("part")).alias("start"))
+    inside = ranges.withColumn("inside", earlier(Window.partitionBy("part").orderBy(order)))
+    return inside.join(F.broadcast(totals), "part").withColumn("before", (F.col("start") + F.col("inside")).cast("long")).drop("part", "start", "inside")

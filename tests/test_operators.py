@@ -53,3 +53,14 @@ def test_positional(spark):
 def plain_steps(s):
     m, n = s.shape
     assert align.steps(sims) == plain_steps(sims)
+
+
+@pytest.mark.parametrize("n", [0, 1, 500])
+def test_running_sums(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(f"w{k:04d}", int(rng.integers(0, 9))) for k in rng.permutation(n).tolist()]
+    got = {r.k: r.before for r in works.running(spark.createDataFrame(rows, "k string, n long"), "k", "n").collect()}
+    want, total = {}, 0
+    for k, v in sorted(rows):
+        want[k], total = total, total + v
+    assert got == want
