@@ -36,7 +36,7 @@ TERMS, SIGMAS, LEAST_ROWS = 8_192, 3.0, 2
 #: from; SIGMAS and EPOCHS the best sum of area and precision over tables of 87, 400 and 4,000 labels.
 BITS, FACTORS, EPOCHS, RATE, L2 = 24, 4, 20, 0.1, 1e-5
 #: Terms of the sample's rows, all together, that the driver takes at most (4 bytes each); of longer rows, fewer are taken.
-HELD = 8_000_000
+HELD = 4_000_000
 THRESHOLD = 0.3
 _TABLE = mapping(also_space=bytes(b for b in range(33, 127) if not chr(b).isalnum()) + bytes(range(9)) + bytes(range(14, 32)))
 #: Occurrences of a term in a text up to this number are told apart; a term's number is hash * 4 + occurrences - 1.
@@ -121,7 +121,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, terms: np.ndarray, seed: int
     v = rng.normal(0, 0.02, (len(terms), FACTORS))
     if not len(terms) or labels.min() == labels.max():
         return Machine(bias, terms, w, v)
-    flat = np.searchsorted(terms, np.concatenate(rows)) if rows else np.empty(0, int)
+    flat = np.searchsorted(terms, np.concatenate(rows)).astype(np.int32) if rows else np.empty(0, np.int32)
     starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
     gw, gv, gb = np.full(len(terms), 1e-6), np.full((len(terms), FACTORS), 1e-6), 1e-6
     for _ in range(EPOCHS):
@@ -200,8 +200,8 @@ def train(
     if total > held:
         own = own.filter(F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < F.lit(int((1 << 20) * held / total)))
     own = own.select("y", "ids").toArrow()
-    y = np.array(own["y"].to_pylist(), float) > 0
-    data = [np.frombuffer(x, np.int32) for x in own["ids"].to_pylist()]
+    y = own["y"].to_numpy() > 0
+    data = [np.frombuffer(x.as_buffer(), np.int32) for x in own["ids"]]
     order = sorted(range(len(data)), key=lambda i: (y[i], data[i].tobytes()))  # whatever the order in which rows came
     return fit([data[i] for i in order], y[order].astype(float), terms)
 
