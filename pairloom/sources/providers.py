@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
+from ..batches import small_batches
 from ..functions import text as T
 from ..operators import layout
 
@@ -99,6 +100,7 @@ def recognise(pages: DataFrame, factories: list[tuple], page: str = "page_no") -
                         continue
             yield pd.DataFrame(rows, columns=["work_id", page, "provider_no", "provider", "text"])
 
+    small_batches(pages.sparkSession)
     own, kind = _pages(pages, page)
     out = own.mapInPandas(run, f"work_id string, `{page}` {kind}, provider_no int, provider string, text string") if told or len(told) == len(every) else None
     if out is not None:
@@ -161,6 +163,7 @@ def corrected(text: Column, factory: Callable[[], Callable[[str], str]] | None =
 def segmented(factory: Callable[[], Callable[[str], list[str]]]) -> Callable[[Column], Column]:
     """A segmenter by a model, for the engine: line ends count as spaces; where the model fails, full stops end sentences."""
 
+
     @F.pandas_udf(Ty.ArrayType(Ty.StringType()))
     def run(texts: pd.Series) -> pd.Series:
         try:

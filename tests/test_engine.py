@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import sys
 import zipfile
 from xml.etree import ElementTree
 
@@ -218,3 +219,41 @@ def test_framed_detector():
         return lambda image: seen.append(image.shape) or []
 
     assert providers.framed(lambda b: np.zeros((10, 20, 3), np.uint8), built)()(b"x") == [] and seen == [(120, 110, 3)]
+
+
+def rows_at_once() -> str:
+    """How many rows the caller's batch has."""
+    frame = sys._getframe()
+    while not {"b", "texts"} & set(frame.f_locals):
+        frame = frame.f_back
+    return str(len(frame.f_locals.get("b", frame.f_locals.get("texts"))))
+
+
+def counter():
+    return lambda content: rows_at_once()
+
+
+def box_counter():
+    return lambda content: [([(0, 0)], rows_at_once(), 1.0)]
+
+
+def sentence_counter():
+    return lambda text: [rows_at_once()]
+
+
+@pytest.mark.parametrize("step", ["recognise"])
+def test_batches_are_bounded_by_bytes(spark, step):
+    """A worker gets long rows a few at a time, not by thousands."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    content = F.lit("x" * 1_000_000)
+    pages = spark.range(0, 24, 1, 1).select(F.lit("w").alias("work_id"), F.col("id").cast("int").alias("page_no"), content.alias("t"), content.cast("binary").alias("content"))
+    if step == "recognise":
+        told = providers.recognise(pages, [("one", counter), ("two", counter)]).select("text")
+    elif step == "detect":
+        told = providers.detect(pages, box_counter).select("text")
+    elif step == "corrected":
+        told = pages.select(providers.corrected(F.col("t"), counter).alias("text"))
+    else:
+        told = pages.select(F.explode(providers.segmented(sentence_counter)(F.col("t"))).alias("text"))
+    counts = [int(r.text) for r in told.collect()]
+    assert len(counts) == (48 if step == "recognise" else 24) and max(counts) <= 6
