@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
@@ -142,6 +142,7 @@ def corrected(text: Column, factory: Callable[[], Callable[[str], str]] | None =
     """Texts through a corrector; blank ones, and those it fails on, stay as they are. None changes nothing."""
     if factory is None:
         return text
+    small_batches(SparkSession.active())
 
     @F.pandas_udf(Ty.StringType())
     def run(texts: pd.Series) -> pd.Series:
@@ -163,6 +164,7 @@ def corrected(text: Column, factory: Callable[[], Callable[[str], str]] | None =
 def segmented(factory: Callable[[], Callable[[str], list[str]]]) -> Callable[[Column], Column]:
     """A segmenter by a model, for the engine: line ends count as spaces; where the model fails, full stops end sentences."""
 
+    small_batches(SparkSession.active())
 
     @F.pandas_udf(Ty.ArrayType(Ty.StringType()))
     def run(texts: pd.Series) -> pd.Series:
