@@ -241,7 +241,7 @@ def sentence_counter():
     return lambda text: [rows_at_once()]
 
 
-@pytest.mark.parametrize("step", ["recognise", "corrected", "segmented"])
+@pytest.mark.parametrize("step", ["recognise", "detect", "corrected", "segmented"])
 def test_batches_are_bounded_by_bytes(spark, step):
     """A worker gets long rows a few at a time, not by thousands."""
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
