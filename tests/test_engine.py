@@ -221,6 +221,22 @@ def test_framed_detector():
     assert providers.framed(lambda b: np.zeros((10, 20, 3), np.uint8), built)()(b"x") == [] and seen == [(120, 110, 3)]
 
 
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """Many works' folders do not become a task each."""
+    for k in range(100):
+        (tmp_path / f"work_id=w{k:03d}").mkdir()
+        (tmp_path / f"work_id=w{k:03d}" / "t.txt").write_text(f"text {k}")
+    spark.sparkContext.setJobGroup("listing", "")
+    before = spark.conf.get(readers.LISTS_SETTING)
+    texts = readers.raw_folders(spark, str(tmp_path))
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(x) for job in tracker.getJobIdsForGroup("listing") for x in tracker.getJobInfo(job).stageIds]
+    spark.sparkContext.setJobGroup("rest", "")
+    assert stages and max(x.numTasks for x in stages) <= readers.LISTS
+    assert spark.conf.get(readers.LISTS_SETTING) == before
+    assert {(r.work_id, r.text) for r in texts.collect()} == {(f"w{k:03d}", f"text {k}") for k in range(100)}
+
+
 def rows_at_once() -> str:
     """How many rows the caller's batch has."""
     frame = sys._getframe()
